@@ -623,6 +623,18 @@ def set_distinct(spark, d):
 SQL_PER_YEAR = "SELECT CAST(year(DATE) AS INTEGER) AS YEAR, count(*) AS observation_count FROM fx_obs_l GROUP BY 1"
 
 
+@query("stream_ingest_daily", SQL_PER_YEAR)
+def stream_ingest_daily(spark, d):
+    """Archive files -> streaming ingest -> lake -> observations per year."""
+    from stratus.streaming.ingest import ingest_daily_stream
+
+    src = output_path(spark, "stream-src")
+    write_daily_archive(fx.fx_obs_l(spark, d), src, by_year=False)
+    lake = output_path(spark, "stream-lake")
+    ingest_daily_stream(spark, src, lake, output_path(spark, "stream-ckpt"))
+    return ob.observations_per_year(read_observation_lake(spark, lake))
+
+
 @query("obs_per_year", SQL_PER_YEAR)
 def obs_per_year(spark, d):
     return ob.observations_per_year(fx.fx_obs_l(spark, d))
