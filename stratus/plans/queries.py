@@ -68,10 +68,11 @@ def _in(values) -> str:
 
 def hav_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """Haversine in SQL (same formula and guard as functions.geo)."""
-    return (
-        f"(12742.0 * asin(sqrt(least(1.0, pow(sin(radians(({lat2}) - ({lat1})) / 2), 2) + "
-        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians(({lon2}) - ({lon1})) / 2), 2)))))"
+    a = (
+        f"(pow(sin(radians(({lat2}) - ({lat1})) / 2), 2) + "
+        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians(({lon2}) - ({lon1})) / 2), 2))"
     )
+    return f"(12742.0 * asin(sqrt(CASE WHEN {a} > 1.0 THEN 1.0 ELSE {a} END)))"
 
 
 def r6(c) -> F.Column:
