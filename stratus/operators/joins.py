@@ -1,16 +1,10 @@
-"""Join helpers: size-checked broadcast of dimension tables."""
+"""Join helpers: dimension lookups whose broadcast is always size-checked."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows.  The
-# country (~220), state (~75) and station (~10^5) tables fit; anything
-# larger falls back to the planner's own choice (shuffle join, with AQE
-# free to switch at runtime).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """Bounded row check: stops reading after ``max_rows + 1`` rows."""
@@ -22,10 +16,22 @@ def lookup_join(
     dim: DataFrame,
     on,
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``fact`` to a dimension, broadcasting the dimension only after
-    proving it is small.  Beyond the bound the join is left to the planner
-    (sort-merge / shuffled hash), never forced into executor memory."""
-    side = F.broadcast(dim) if has_at_most(dim, max_broadcast_rows) else dim
+    """Join ``fact`` to a dimension table without ever broadcasting blindly.
+
+    Default: no hint.  Spark itself checks the dimension's size - at plan
+    time from file / plan statistics (``spark.sql.autoBroadcastJoinThreshold``)
+    and again at runtime from the real shuffle output (AQE,
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``) - and broadcasts
+    only under the threshold, otherwise it shuffles (sort-merge or
+    shuffled hash join).  No extra job is spent on the check.
+
+    With ``max_broadcast_rows`` the caller asks for a broadcast *hint*,
+    given only after a bounded count proves the dimension small; beyond
+    the bound the join is left to the planner as above.
+    """
+    side = dim
+    if max_broadcast_rows is not None and has_at_most(dim, max_broadcast_rows):
+        side = F.broadcast(dim)
     return fact.join(side, on=on, how=how)

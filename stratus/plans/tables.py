@@ -2,8 +2,23 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
+# Parquet schema per path, inferred once per process.  Passing the known
+# schema skips the footer-reading job Spark runs on every un-typed read.
+_SCHEMAS: dict[str, object] = {}
+_LOCK = threading.Lock()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    with _LOCK:
+        schema = _SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    with _LOCK:
+        _SCHEMAS[path] = df.schema
+    return df
