@@ -412,7 +412,7 @@ SELECT a.ID, b.ID AS ID_1, round({hav_sql('a.LATITUDE', 'a.LONGITUDE', 'b.LATITU
 FROM sub a JOIN sub b ON a.ID <> b.ID""",
 )
 def join_cross_self(spark, d):
-    p = pr.ordered_pairs(_subset(spark, d))
+    p = pr.ordered_pairs(_subset(spark, d), SUBSET_SIZE)
     return p.select("ID", "ID_1", r6("distance_km").alias("distance_km"))
 
 

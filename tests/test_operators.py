@@ -120,7 +120,7 @@ def test_country_pairs_blocked_matches_all_pairs(spark, rows_per_block):
 
 def test_ordered_pairs_count(spark):
     df = spark.createDataFrame(_random_points(10, 3), "ID string, COUNTRY_CODE string, LATITUDE double, LONGITUDE double")
-    got = pr.ordered_pairs(df, rows_per_block=2).collect()
+    got = pr.ordered_pairs(df, 10, rows_per_block=2).collect()
     assert len(got) == 90 and len({(r.ID, r.ID_1) for r in got}) == 90
 
 
