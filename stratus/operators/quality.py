@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 
 def orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Rows of ``left`` whose key has no match in ``right`` (LEFT ANTI)."""
-    r = right.select(F.col(right_key).alias("_rk"))
+    """Rows of ``left`` whose key has no match in ``right`` (LEFT ANTI).
+
+    The right keys are de-duplicated first: a partial (map-side)
+    aggregate, so when ``right`` is the fact table a key holding a third
+    of all rows reaches the join as one row per map task.  (AQE can split
+    a skewed *left* side of an anti join, never its build side.)
+    """
+    r = right.select(F.col(right_key).alias("_rk")).distinct()
     return left.join(r, left[left_key] == r["_rk"], "left_anti")
 
 

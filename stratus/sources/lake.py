@@ -28,15 +28,18 @@ def prepare_observations(daily: DataFrame) -> DataFrame:
 def write_observation_lake(daily: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
     """Write the observations as Parquet partitioned by YEAR.
 
-    ``repartitionByRange`` on (YEAR, COUNTRY_CODE, ID) samples the keys, so
-    a country that holds a third of all rows is still cut into many
-    balanced tasks (hash partitioning on the country would put it in one).
-    Sorting inside a partition clusters COUNTRY_CODE / ELEMENT so Parquet
-    min/max statistics can skip row groups for country and element filters.
+    ``rebalance`` on (YEAR, COUNTRY_CODE) groups each year's country into
+    the same files, and AQE sizes the write tasks from the real shuffle
+    output (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): a country
+    holding a third of all rows is split into many tasks, small ones are
+    merged - the number of tasks grows with the data instead of being a
+    fixed partition count.  Sorting inside a task by ELEMENT / ID / DATE
+    lets Parquet min/max statistics skip row groups for element, country
+    and station filters.
     """
     obs = prepare_observations(daily)
     (
-        obs.repartitionByRange("YEAR", "COUNTRY_CODE", "ID")
+        obs.hint("rebalance", "YEAR", "COUNTRY_CODE")
         .sortWithinPartitions("YEAR", "COUNTRY_CODE", "ELEMENT", "ID", "DATE")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
