@@ -512,10 +512,11 @@ SQL_NET_COUNT = (
 @query(
     "station_summary",
     f"""WITH prof AS (SELECT ID, max(LASTYEAR) AS Lastyear FROM fx_inventory GROUP BY ID)
-SELECT count(*) AS total, count_if(p.Lastyear = {ACTIVE_YEAR}) AS active_{ACTIVE_YEAR},
-  count_if(WMOID = '') AS no_wmo, count_if(GFLAG = 'GSN') AS gsn, count_if(HCFLAG = 'HCN') AS hcn,
-  count_if(HCFLAG = 'CRN') AS crn, count_if({SQL_NET_COUNT} > 1) AS multi_network,
-  count_if(LATITUDE >= 0) AS northern
+SELECT count(*) AS total, CAST(count_if(p.Lastyear = {ACTIVE_YEAR}) AS BIGINT) AS active_{ACTIVE_YEAR},
+  CAST(count_if(WMOID = '') AS BIGINT) AS no_wmo, CAST(count_if(GFLAG = 'GSN') AS BIGINT) AS gsn,
+  CAST(count_if(HCFLAG = 'HCN') AS BIGINT) AS hcn, CAST(count_if(HCFLAG = 'CRN') AS BIGINT) AS crn,
+  CAST(count_if({SQL_NET_COUNT} > 1) AS BIGINT) AS multi_network,
+  CAST(count_if(LATITUDE >= 0) AS BIGINT) AS northern
 FROM fx_station s LEFT JOIN prof p ON s.ID = p.ID""",
 )
 def station_summary(spark, d):

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
+from tools.check_types import duck_types, spark_types
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,7 +33,9 @@ def test_entry_contract(spark):
 
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
-    spdf = E.queries()[key](spark, SF).toPandas()
+    sdf = E.queries()[key](spark, SF)
+    assert spark_types(sdf) == duck_types(duck, E.oracle_sql()[key])
+    spdf = sdf.toPandas()
     opdf = duck.execute(E.oracle_sql()[key]).df()
     assert sorted(spdf.columns) == sorted(opdf.columns)
     assert len(spdf) == len(opdf)
