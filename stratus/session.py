@@ -18,19 +18,25 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; sets a local one only if none is set."""
-    sc = spark.sparkContext
-    d = sc.getConf().get(_CKPT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        sc = None
+    d = None
+    if sc is not None:
+        d = sc.getConf().get(_CKPT_KEY, None) or sc.getCheckpointDir()
     if not d:
         try:
             d = spark.conf.get(_CKPT_KEY, None)
-        except Exception:  # pragma: no cover - key unknown to older confs
+        except Exception:  # pragma: no cover - key unknown to the session conf
             d = None
-    if not d:
-        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="stratus-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
+        else:
+            spark.conf.set(_CKPT_KEY, d)
     return d.rstrip("/")
 
 

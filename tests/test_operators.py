@@ -154,3 +154,28 @@ def test_closest_pair_sparse_group(spark):
     got = {r.COUNTRY_CODE: (r.ID, r.ID_1) for r in pr.closest_pairs(df).collect()}
     want = min(((_hav(a, b), a[0], b[0]) for a, b in itertools.combinations(pts[:3], 2)))
     assert got == {"X": want[1:3]}
+
+
+def test_hot_group_pairs_and_closest(spark):
+    """One country with 3,000 clustered stations (plus a few elsewhere):
+    the blocked join spreads it over block pairs, and the grid search
+    finds the same minimum as the full pair table."""
+    n = 3000
+    pts = spark.range(n).select(
+        F.format_string("HT%09d", F.col("id")).alias("ID"),
+        F.when(F.col("id") < n - 5, F.lit("HT")).otherwise(F.lit("LO")).alias("COUNTRY_CODE"),
+        (F.lit(-41.0) + (F.xxhash64("id") % 100000) / 1e5).alias("LATITUDE"),
+        (F.lit(174.0) + (F.xxhash64(F.col("id") + 7) % 100000) / 1e5).alias("LONGITUDE"),
+    )
+    pairs = pr.country_pairs(pts, rows_per_block=400)
+    counts = {r.COUNTRY_CODE: r["count"] for r in pairs.groupBy("COUNTRY_CODE").count().collect()}
+    assert counts == {"HT": (n - 5) * (n - 6) // 2, "LO": 10}
+    brute = {
+        r.COUNTRY_CODE: (r.m.distance_km, r.m.ID, r.m.ID_1)
+        for r in pairs.groupBy("COUNTRY_CODE").agg(F.min(F.struct("distance_km", "ID", "ID_1")).alias("m")).collect()
+    }
+    grid = {r.COUNTRY_CODE: (r.distance_km, r.ID, r.ID_1) for r in pr.closest_pairs(pts).collect()}
+    assert set(grid) == set(brute)
+    for cc in grid:
+        assert grid[cc][1:] == brute[cc][1:]
+        assert grid[cc][0] == pytest.approx(brute[cc][0], abs=1e-9)
