@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.functions.columns import array_text, country_code, obs_minute, trimmed_piece, year_int, year_text
+from stratus.functions.columns import array_text, obs_minute, trimmed_piece, year_int, year_text
 from stratus.functions.geo import haversine_km
 from stratus.layouts import COUNTRY_LAYOUT, INVENTORY_LAYOUT, STATION_LAYOUT
 from stratus.operators import observations as ob
@@ -26,7 +26,6 @@ from stratus.plans import fixtures as fx
 from stratus.plans.tables import table
 from stratus.session import output_path
 from stratus.sources.daily import read_daily_csv, read_untyped_csv, with_obs_minute, write_daily_archive
-from stratus.sources.daily import format_daily_csv_columns
 from stratus.sources.files import file_inventory
 from stratus.sources.fixed_width import read_fixed_width, render_fixed_width
 from stratus.sources.lake import read_observation_lake, write_observation_lake
