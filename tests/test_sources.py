@@ -63,10 +63,6 @@ def test_render_parse_roundtrip(spark):
     assert back.NAME == "TAPUTIMU TUTUILA" and abs(back.LATITUDE + 14.35) < 1e-5
 
 
-def test_daily_csv_reader_edge_rows():
-    pass  # covered by test_daily_csv_reader below (needs the session)
-
-
 def test_daily_csv_reader(spark):
     d = tempfile.mkdtemp(prefix="stratus-test-")
     p = os.path.join(d, "2022.csv")
