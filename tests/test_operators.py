@@ -179,3 +179,18 @@ def test_hot_group_pairs_and_closest(spark):
     for cc in grid:
         assert grid[cc][1:] == brute[cc][1:]
         assert grid[cc][0] == pytest.approx(brute[cc][0], abs=1e-9)
+
+
+def test_closest_pair_many_coincident_stations(spark):
+    """3,000 stations at one spot (a third of the group) plus scattered ones:
+    the spot is reduced to its two smallest ids before the cell join."""
+    n = 9000
+    spot = F.col("id") % 3 == 0
+    pts = spark.range(n).select(
+        F.format_string("CC%09d", F.col("id")).alias("ID"),
+        F.lit("CC").alias("COUNTRY_CODE"),
+        F.when(spot, F.lit(12.5)).otherwise((F.xxhash64("id") % 170000) / 1e3).alias("LATITUDE"),
+        F.when(spot, F.lit(-3.25)).otherwise((F.xxhash64(F.col("id") + 1) % 179000) / 1e3).alias("LONGITUDE"),
+    )
+    r = pr.closest_pair(pts).first()
+    assert (r.ID, r.ID_1, r.distance_km) == ("CC000000000", "CC000000003", 0.0)
