@@ -43,7 +43,13 @@ def render_fixed_width(df: DataFrame, layout: tuple[Field, ...]) -> DataFrame:
             parts.append(F.lit(" " * (f.start - pos)))
         if f.name in df.columns:
             src = F.col(f.name)
-            txt = F.format_string(f.fmt, src) if f.fmt else src.cast("string")
+            if f.fmt:
+                # a number that does not fit its field is written blank
+                # (read back as null), never cut into a different number
+                txt = F.when(src.isNotNull(), F.format_string(f.fmt, src))
+                txt = F.when(F.length(txt) <= f.length, txt)
+            else:
+                txt = src.cast("string")  # text is cut to its field width
             txt = F.coalesce(txt, F.lit(""))
             txt = F.lpad(txt, f.length, " ") if f.align == "right" else F.rpad(txt, f.length, " ")
         else:

@@ -115,3 +115,15 @@ def test_write_sorted_is_globally_ordered(spark):
         with open(os.path.join(path, f)) as fh:
             rows += [tuple(line.rstrip("\n").split(",")) for line in fh.readlines()[1:]]
     assert len(rows) == 5000 and rows == sorted(rows)
+
+
+def test_render_overflow_and_nulls(spark):
+    df = spark.createDataFrame(
+        [("ABCDEFGHIJKLMNOP", 12345.678, None, 1234567.0, "X" * 40)],
+        "ID string, LATITUDE double, LONGITUDE double, ELEVATION double, NAME string",
+    )
+    back = parse_fixed_width(render_fixed_width(df, STATION_LAYOUT), STATION_LAYOUT).first()
+    assert back.ID == "ABCDEFGHIJK"  # text is cut to the field width
+    assert back.LATITUDE is None  # 12345.6780 does not fit 8 characters
+    assert back.LONGITUDE is None and back.ELEVATION is None
+    assert back.NAME == "X" * 30 and back.STATE == ""
