@@ -154,7 +154,11 @@ def network_flags(enriched: DataFrame) -> DataFrame:
 
 
 def station_summary(enriched: DataFrame, active_year: int) -> DataFrame:
-    """All station-level counts in one scan (one row)."""
+    """All station-level counts in one scan (one row).
+
+    Needs GFLAG, HCFLAG, WMOID, LATITUDE and Lastyear: the enriched table,
+    or just the stations joined to their active years.
+    """
     f = network_flags(enriched)
     member = F.col("_gsn") + F.col("_hcn") + F.col("_crn")
     return f.agg(

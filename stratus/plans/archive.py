@@ -113,7 +113,7 @@ def analysis(
         "tmin_without_tmax_stations": ob.distinct_count(missing, "ID", "station_count"),
         "country_tmin_tmax": country_tt,
         "country_series": series,
-        "years_covered": ob.distinct_count(series, "YEAR", "year_count"),
+        "years_covered": ob.distinct_count(country_tt.withColumn("YEAR", F.year("DATE")), "YEAR", "year_count"),
         "rainfall": rainfall,
         "rainfall_top": ob.top_country_year(rainfall, 1),
     }

@@ -519,7 +519,11 @@ SELECT count(*) AS total, CAST(count_if(p.Lastyear = {ACTIVE_YEAR}) AS BIGINT) A
 FROM fx_station s LEFT JOIN prof p ON s.ID = p.ID""",
 )
 def station_summary(spark, d):
-    return stn.station_summary(_enriched(spark, d), ACTIVE_YEAR).withColumnRenamed("active", f"active_{ACTIVE_YEAR}")
+    # only Lastyear is needed from the enrichment: stations + active years
+    st = fx.fx_station(spark, d).join(
+        stn.active_years(fx.fx_inventory(spark, d)).withColumnRenamed("last_year", "Lastyear"), "ID", "left"
+    )
+    return stn.station_summary(st, ACTIVE_YEAR).withColumnRenamed("active", f"active_{ACTIVE_YEAR}")
 
 
 @query("station_multi_network", f"SELECT ID FROM fx_station WHERE {SQL_NET_COUNT} > 1")
@@ -674,8 +678,10 @@ def country_tmin_tmax(spark, d):
 
 @query("years_covered", f"SELECT count(DISTINCT year(DATE)) AS year_count {SQL_COUNTRY_TT}")
 def years_covered(spark, d):
-    series = ob.daily_series_average(ob.country_elements(fx.fx_obs_l(spark, d), PAIR_COUNTRY, ("TMIN", "TMAX")))
-    return ob.distinct_count(series, "YEAR", "year_count")
+    # distinct years straight from the rows: the per-day averaging of the
+    # series does not change which years occur, so it is not needed here
+    obs = ob.country_elements(fx.fx_obs_l(spark, d), PAIR_COUNTRY, ("TMIN", "TMAX"))
+    return ob.distinct_count(obs.withColumn("YEAR", year_int("DATE")), "YEAR", "year_count")
 
 
 @query(
