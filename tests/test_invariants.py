@@ -75,3 +75,59 @@ def test_obs_minute_matches_model(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t string")
     got = {r.i: r.m for r in df.select("i", obs_minute("t").alias("m")).collect()}
     assert got == {i: _model(v) for i, v in enumerate(values)}
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from("ABC"), st.integers(0, 60)), min_size=0, max_size=80),
+    st.integers(1, 7),
+)
+def test_blocked_pairs_property(spark, rows, rows_per_block):
+    from stratus.operators.pairs import pairs_in_groups
+
+    df = spark.createDataFrame([(g, f"{g}{i:03d}") for g, i in rows] or [("A", "A000")][:0], "G string, ID string")
+    got = [(r.G, r.ID, r.ID_1) for r in pairs_in_groups(df, "G", "ID", rows_per_block).collect()]
+    want = sorted(
+        (a[0], f"{a[0]}{a[1]:03d}", f"{b[0]}{b[1]:03d}")
+        for i, a in enumerate(rows)
+        for b in rows[i + 1 :] + rows[:i]
+        if a[0] == b[0] and f"{a[0]}{a[1]:03d}" < f"{b[0]}{b[1]:03d}"
+    )
+    # duplicates of an id pair appear once per row combination, like the SQL self join
+    assert sorted(got) == want
+
+
+_coord = st.tuples(
+    st.sampled_from(["AA", "BB"]),
+    st.sampled_from([-90.0, -45.5, 0.0, 10.25, 10.2501, 89.99, 90.0]) | st.floats(-90, 90, allow_nan=False),
+    st.sampled_from([-180.0, -179.999, 0.0, 179.999, 180.0]) | st.floats(-180, 180, allow_nan=False),
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(_coord, min_size=2, max_size=40))
+def test_closest_pairs_property(spark, pts):
+    from stratus.operators.pairs import closest_pairs
+
+    rows = [(f"{g}{i:03d}", g, lat, lon) for i, (g, lat, lon) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "ID string, COUNTRY_CODE string, LATITUDE double, LONGITUDE double")
+    got = {r.COUNTRY_CODE: (r.distance_km, r.ID, r.ID_1) for r in closest_pairs(df).collect()}
+
+    def hav(a, b):
+        la1, lo1, la2, lo2 = map(math.radians, (a[2], a[3], b[2], b[3]))
+        h = math.sin((la2 - la1) / 2) ** 2 + math.cos(la1) * math.cos(la2) * math.sin((lo2 - lo1) / 2) ** 2
+        return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h)))
+
+    for g in ("AA", "BB"):
+        grp = [r for r in rows if r[1] == g]
+        if len(grp) < 2:
+            assert g not in got
+            continue
+        best = min((hav(a, b), a[0], b[0]) for i, a in enumerate(grp) for b in grp[i + 1 :])
+        d, i1, i2 = got[g]
+        assert d == pytest.approx(best[0], abs=1e-7)
+        # same pair, unless another pair ties within floating-point noise
+        if (i1, i2) != best[1:]:
+            a = next(r for r in grp if r[0] == i1)
+            b = next(r for r in grp if r[0] == i2)
+            assert abs(hav(a, b) - best[0]) < 1e-7
