@@ -27,7 +27,7 @@ from stratus.operators import stations as stn
 from stratus.sources.daily import read_daily_csv, with_obs_minute
 from stratus.sources.fixed_width import read_fixed_width
 from stratus.sources.lake import prepare_observations, read_observation_lake, write_observation_lake
-from stratus.sources.sinks import write_csv, write_single_file, write_sorted
+from stratus.sources.sinks import reconcile_csv, write_csv, write_single_file, write_sorted
 
 # --- fixed values: the territory rule of the station questions (country
 # names that contain the text but do not start with it) ---
@@ -139,6 +139,17 @@ def write_outputs(results: dict[str, DataFrame], out: str) -> dict[str, str]:
     return paths
 
 
+def reconcile_outputs(spark: SparkSession, results: dict[str, DataFrame], paths: dict[str, str]) -> DataFrame:
+    """Read every written CSV back and compare its data lines with the
+    source row count (one row per output: lines, headers, data_rows,
+    source_rows, ok).  Gzip parts are read transparently."""
+    out = None
+    for name, path in sorted(paths.items()):
+        r = reconcile_csv(spark, path, results[name]).select(F.lit(name).alias("output"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="station archive analysis")
     for name in ("daily", "stations", "countries", "states", "inventory", "out"):
@@ -147,11 +158,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--convert", action="store_true", help="write the Parquet lake from --daily first")
     p.add_argument("--country", default="NZ")
     p.add_argument("--active-year", type=int, default=2021)
+    p.add_argument("--reconcile", action="store_true", help="read the outputs back and check row counts")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName("stratus-archive").getOrCreate()
     a = load_archive(spark, args.daily, args.stations, args.countries, args.states, args.inventory, args.lake, args.convert)
     res = analysis(a, args.country, args.active_year)
-    write_outputs(res, args.out)
+    paths = write_outputs(res, args.out)
+    if args.reconcile:
+        reconcile_outputs(spark, res, paths).show(truncate=False)
     for key in ("station_summary", "territory_total", "core_element_counts", "tmin_without_tmax_stations",
                 "years_covered", "closest_pair", "rainfall_top"):
         res[key].show(truncate=False)
