@@ -17,25 +17,30 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; sets a local one only if none is set."""
+    """The cluster's shared folder (``spark.checkpoint.dir``).
+
+    It is also made the context's checkpoint directory, so ``checkpoint()``
+    writes there.  Only when nothing is configured (local tests) a fresh
+    local folder is set.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect sessions have no SparkContext
         sc = None
-    d = None
-    if sc is not None:
-        d = sc.getConf().get(_CKPT_KEY, None) or sc.getCheckpointDir()
-    if not d:
+    conf_dir = sc.getConf().get(_CKPT_KEY, None) if sc is not None else None
+    if not conf_dir:
         try:
-            d = spark.conf.get(_CKPT_KEY, None)
+            conf_dir = spark.conf.get(_CKPT_KEY, None)
         except Exception:  # pragma: no cover - key unknown to the session conf
-            d = None
-    if not d:
-        d = tempfile.mkdtemp(prefix="stratus-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(d)
-            d = sc.getCheckpointDir() or d
-        else:
+            conf_dir = None
+    if sc is not None:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="stratus-ckpt-"))
+        d = conf_dir or sc.getCheckpointDir()
+    else:
+        d = conf_dir
+        if not d:
+            d = tempfile.mkdtemp(prefix="stratus-ckpt-")
             spark.conf.set(_CKPT_KEY, d)
     return d.rstrip("/")
 
