@@ -52,7 +52,9 @@ def test_archive_job_end_to_end(spark):
     assert res["observed_missing_stations"].count() > 0
     out = ar.write_outputs(res, f"{base}/out")
     assert len([f for f in os.listdir(out["rainfall"]) if f.startswith("part-")]) == 1
-    assert spark.read.option("header", "true").csv(out["country_pairs"]).count() == 2628
+    written_pairs = spark.read.option("header", "true").csv(out["country_pairs"])
+    assert written_pairs.count() == 2628
+    assert written_pairs.columns == ["COUNTRY_CODE", "ID", "NAME", "LAT", "LON", "ID_1", "NAME_1", "LAT_1", "LON_1", "distance_km"]
     rec = {r.output: r for r in ar.reconcile_outputs(spark, res, out).collect()}
     assert set(rec) == set(out) and all(r.ok for r in rec.values())
     assert rec["rainfall"].headers == 1 and rec["country_pairs"].data_rows == 2628
