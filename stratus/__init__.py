@@ -1,7 +1,8 @@
 """stratus: station-observation analytics as plain Spark DataFrame jobs.
 
-Every public function takes DataFrames / Columns and returns DataFrames /
-Columns.  Nothing here creates a SparkSession, collects data to the
+Every operator takes DataFrames / Columns and returns DataFrames / Columns.
+No operator creates a SparkSession (only ``session.local_session`` for tests
+and the bench, and the archive CLI's ``main``), collects data to the
 driver, or runs row-at-a-time Python: the work is declared with the
 DataFrame API and left to Catalyst / AQE to plan.
 """
