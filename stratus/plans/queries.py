@@ -253,7 +253,12 @@ def sink_single_file(spark, d):
     return back.select("COUNTRY_CODE", "YEAR", r6("AVERAGE").alias("AVERAGE"), "COUNTRY_NAME")
 
 
-@query("sink_reconcile")  # rows-only: one reconciliation row
+@query(
+    "sink_reconcile",
+    # three part files (explicit repartition(3), kept by AQE), one header each
+    """SELECT count(*) + 3 AS lines, CAST(3 AS BIGINT) AS headers, count(*) AS data_rows,
+  count(*) AS source_rows, true AS ok FROM fx_country""",
+)
 def sink_reconcile(spark, d):
     c = fx.fx_country(spark, d)
     path = write_csv(c.repartition(3), output_path(spark, "country-3-parts"))

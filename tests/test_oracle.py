@@ -25,7 +25,7 @@ def duck():
 def test_entry_contract(spark):
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"src_file_inventory", "sink_reconcile"}
+    assert set(qs) - set(sqls) == {"src_file_inventory"}
     df = E.entry(spark)
     assert df.columns == ["COUNTRY_CODE", "YEAR", "AVERAGE", "COUNTRY_NAME"]
     assert df.count() > 0
