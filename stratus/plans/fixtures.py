@@ -10,6 +10,7 @@ SQL text (the DuckDB oracle's CTEs).  Both must give identical rows.
 from __future__ import annotations
 
 import re
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +21,18 @@ from stratus.plans.tables import table
 # once per (session, directory) and hand the same DataFrame to every query
 # (saves re-analysing the same sub-plan; no data is cached).
 _VIEWS: dict[tuple, DataFrame] = {}
+_VIEWS_LOCK = threading.Lock()
 
 
 def _memo(fn):
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (fn.__name__, id(spark), spark.sparkContext.applicationId if _has_sc(spark) else "", sf_dir.rstrip("/"))
-        df = _VIEWS.get(key)
+        with _VIEWS_LOCK:
+            df = _VIEWS.get(key)
         if df is None:
-            df = _VIEWS[key] = fn(spark, sf_dir)
+            df = fn(spark, sf_dir)
+            with _VIEWS_LOCK:
+                df = _VIEWS.setdefault(key, df)
         return df
 
     wrapper.__name__ = fn.__name__
