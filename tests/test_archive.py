@@ -58,3 +58,24 @@ def test_archive_job_end_to_end(spark):
     rec = {r.output: r for r in ar.reconcile_outputs(spark, res, out).collect()}
     assert set(rec) == set(out) and all(r.ok for r in rec.values())
     assert rec["rainfall"].headers == 1 and rec["country_pairs"].data_rows == 2628
+
+
+def test_archive_cli(spark, capsys):
+    base = tempfile.mkdtemp(prefix="stratus-cli-")
+    sf = "/root/testdata/sf0.001"
+    args = [
+        "--stations", _write_text(render_fixed_width(fx.fx_station(spark, sf).withColumn("LATITUDE", F.round("LATITUDE", 4)).withColumn("LONGITUDE", F.round("LONGITUDE", 4)), STATION_LAYOUT), f"{base}/stations"),
+        "--countries", _write_text(render_fixed_width(fx.fx_country(spark, sf), COUNTRY_LAYOUT), f"{base}/countries"),
+        "--states", _write_text(render_fixed_width(fx.fx_state(spark, sf), STATE_LAYOUT), f"{base}/states"),
+        "--inventory", _write_text(render_fixed_width(fx.fx_inventory(spark, sf), INVENTORY_LAYOUT), f"{base}/inventory"),
+        "--daily", write_daily_archive(fx.fx_obs_l(spark, sf), f"{base}/daily", by_year=False),
+        "--out", f"{base}/out", "--lake", f"{base}/lake", "--convert", "--reconcile",
+        "--country", "03", "--active-year", "2001",
+    ]
+    ar.main(args)
+    text = capsys.readouterr().out
+    assert "total_stations" in text and "year_count" in text and "ok" in text
+    assert sorted(os.listdir(f"{base}/out")) == sorted(
+        ["enriched-stations.csv.gz", "stations-per-country.csv", "stations-per-state.csv", "country-pair-distances.csv",
+         "country-tmin-tmax.csv", "country-series.csv", "rainfall.csv"]
+    )
