@@ -25,7 +25,12 @@ def prepare_observations(daily: DataFrame) -> DataFrame:
     return out
 
 
-def write_observation_lake(daily: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
+def write_observation_lake(
+    daily: DataFrame,
+    path: str,
+    max_records_per_file: int = 5_000_000,
+    row_group_bytes: int = 16 * 1024 * 1024,
+) -> str:
     """Write the observations as Parquet partitioned by YEAR.
 
     ``rebalance`` on (YEAR, COUNTRY_CODE) groups each year's country into
@@ -35,7 +40,9 @@ def write_observation_lake(daily: DataFrame, path: str, max_records_per_file: in
     merged - the number of tasks grows with the data instead of being a
     fixed partition count.  Sorting inside a task by ELEMENT / ID / DATE
     lets Parquet min/max statistics skip row groups for element, country
-    and station filters.
+    and station filters; ``row_group_bytes`` keeps several row groups per
+    file so there is something to skip (one 128 MB group per file would
+    span every element).
     """
     obs = prepare_observations(daily)
     (
@@ -43,6 +50,7 @@ def write_observation_lake(daily: DataFrame, path: str, max_records_per_file: in
         .sortWithinPartitions("YEAR", "COUNTRY_CODE", "ELEMENT", "ID", "DATE")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("parquet.block.size", row_group_bytes)
         .partitionBy("YEAR")
         .parquet(path)
     )

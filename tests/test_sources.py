@@ -127,3 +127,28 @@ def test_render_overflow_and_nulls(spark):
     assert back.LATITUDE is None  # 12345.6780 does not fit 8 characters
     assert back.LONGITUDE is None and back.ELEVATION is None
     assert back.NAME == "X" * 30 and back.STATE == ""
+
+
+def test_lake_layout_row_groups_and_clustering(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from stratus.plans import fixtures as fx
+    from stratus.sources.lake import read_observation_lake, write_observation_lake
+
+    d = tempfile.mkdtemp(prefix="stratus-lake-")
+    obs = fx.fx_obs_l(spark, "/root/testdata/sf0.01")
+    path = write_observation_lake(obs, os.path.join(d, "lake"), row_group_bytes=64 * 1024)
+    years = sorted(os.listdir(path))
+    assert [y for y in years if y.startswith("YEAR=")] == [f"YEAR={y}" for y in range(1995, 2002)]
+    files = glob.glob(os.path.join(path, "YEAR=*", "*.parquet"))
+    groups = [pq.ParquetFile(f).metadata.num_row_groups for f in files]
+    assert max(groups) > 1  # the row-group size option reaches the writer
+    # inside a file rows are clustered by country, then element (then id,
+    # date): min/max statistics of a row group cover narrow ranges
+    for f in files:
+        t = pq.read_table(f, columns=["COUNTRY_CODE", "ELEMENT", "ID", "DATE"]).to_pylist()
+        keys = [(r["COUNTRY_CODE"], r["ELEMENT"], r["ID"], r["DATE"]) for r in t]
+        assert keys == sorted(keys)
+    assert read_observation_lake(spark, path).count() == obs.count()
