@@ -59,6 +59,9 @@ def local_session(app: str = "stratus", cores: int | str = "*", shuffle_partitio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # coalesce shuffle output to the advisory partition size, not to the
+        # core count (Spark's recommendation for clusters)
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         # the size check behind every broadcast: plan-time and runtime (AQE) bounds
         .config("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
