@@ -25,7 +25,7 @@ from stratus.operators import pairs as pr
 from stratus.operators import quality as qa
 from stratus.operators import stations as stn
 from stratus.sources.daily import read_daily_csv, with_obs_minute
-from stratus.sources.fixed_width import read_fixed_width
+from stratus.sources.fixed_width import fixed_width_rejects, parse_fixed_width, read_fixed_width
 from stratus.sources.lake import prepare_observations, read_observation_lake, write_observation_lake
 from stratus.sources.sinks import reconcile_csv, write_csv, write_single_file, write_sorted
 
@@ -42,6 +42,7 @@ class Archive:
     countries: DataFrame
     states: DataFrame
     inventory: DataFrame
+    rejects: DataFrame | None = None  # unparseable typed fields in the metadata files
 
 
 def load_archive(
@@ -62,12 +63,25 @@ def load_archive(
         obs = read_observation_lake(spark, lake)
     else:
         obs = prepare_observations(with_obs_minute(read_daily_csv(spark, daily)))
+    st_text, inv_text = spark.read.text(stations), spark.read.text(inventory)
+    rejects = (
+        fixed_width_rejects(st_text, STATION_LAYOUT)
+        .select(F.lit("stations").alias("file"), F.col("lines"), (F.col("LATITUDE_rejects") + F.col("LONGITUDE_rejects") + F.col("ELEVATION_rejects")).alias("rejected_values"))
+        .unionByName(
+            fixed_width_rejects(inv_text, INVENTORY_LAYOUT).select(
+                F.lit("inventory").alias("file"),
+                F.col("lines"),
+                (F.col("LAT_rejects") + F.col("LONG_rejects") + F.col("FIRSTYEAR_rejects") + F.col("LASTYEAR_rejects")).alias("rejected_values"),
+            )
+        )
+    )
     return Archive(
         daily=obs,
-        stations=read_fixed_width(spark, stations, STATION_LAYOUT),
+        stations=parse_fixed_width(st_text, STATION_LAYOUT),
         countries=read_fixed_width(spark, countries, COUNTRY_LAYOUT),
         states=read_fixed_width(spark, states, STATE_LAYOUT),
-        inventory=read_fixed_width(spark, inventory, INVENTORY_LAYOUT),
+        inventory=parse_fixed_width(inv_text, INVENTORY_LAYOUT),
+        rejects=rejects,
     )
 
 
@@ -92,7 +106,7 @@ def analysis(
     series = ob.daily_series_average(country_tt)
     rainfall = ob.country_year_average(a.daily, a.countries, rain_element)
     pairs = pr.country_pairs(st_cc, country)
-    return {
+    out = {
         "enriched_stations": enriched,
         "station_summary": stn.station_summary(enriched, active_year),
         "active_years": stn.active_years(a.inventory),
@@ -117,6 +131,9 @@ def analysis(
         "rainfall": rainfall,
         "rainfall_top": ob.top_country_year(rainfall, 1),
     }
+    if a.rejects is not None:
+        out["parse_rejects"] = a.rejects
+    return out
 
 
 def write_outputs(results: dict[str, DataFrame], out: str) -> dict[str, str]:
@@ -166,7 +183,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     paths = write_outputs(res, args.out)
     if args.reconcile:
         reconcile_outputs(spark, res, paths).show(truncate=False)
-    for key in ("station_summary", "territory_total", "core_element_counts", "tmin_without_tmax_stations",
+    for key in ("parse_rejects", "station_summary", "territory_total", "core_element_counts", "tmin_without_tmax_stations",
                 "years_covered", "closest_pair", "rainfall_top"):
         res[key].show(truncate=False)
 

@@ -7,6 +7,7 @@ from stratus.sources.daily import (  # noqa: F401
 )
 from stratus.sources.files import file_inventory  # noqa: F401
 from stratus.sources.fixed_width import (  # noqa: F401
+    fixed_width_rejects,
     parse_fixed_width,
     read_fixed_width,
     render_fixed_width,

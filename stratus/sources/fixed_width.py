@@ -57,3 +57,22 @@ def render_fixed_width(df: DataFrame, layout: tuple[Field, ...]) -> DataFrame:
         parts.append(txt)
         pos = f.start + f.length
     return df.select(F.concat(*parts).alias("value"))
+
+
+def fixed_width_rejects(text: DataFrame, layout: tuple[Field, ...], line_col: str = "value") -> DataFrame:
+    """Rows whose typed fields hold text that does not parse, per field.
+
+    ``parse_fixed_width`` turns such values into null (``try_cast``); this
+    counts them in one aggregate pass so bad input is visible instead of
+    silently null.  Blank fields are missing values, not rejects.  One row:
+    ``lines`` plus one ``<FIELD>_rejects`` column per typed field.
+    """
+    line = F.col(line_col)
+    aggs = [F.count(F.lit(1)).alias("lines")]
+    for f in layout:
+        if f.dtype.simpleString() == "string":
+            continue
+        piece = trimmed_piece(line, f.start, f.length)
+        bad = (piece != "") & piece.try_cast(f.dtype).isNull()
+        aggs.append(F.count_if(bad).alias(f"{f.name}_rejects"))
+    return text.agg(*aggs)

@@ -34,6 +34,8 @@ def test_archive_job_end_to_end(spark):
     res = ar.analysis(a, "07", 2001, core=("1-UR", "2-HI", "3-ME"), only_element="5-LO")
     # inventory ELEMENT is 4 characters wide in the layout, hence the short names
     assert res["enriched_stations"].count() == 1500
+    assert {r.file: (r.lines, r.rejected_values) for r in res["parse_rejects"].collect()} == {
+        "stations": (1500, 0), "inventory": (5454, 0)}
     assert res["all_core_stations"].count() == 704
     assert res["only_element_stations"].count() == 2
     assert res["multi_network_stations"].count() == 86

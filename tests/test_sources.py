@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratus.layouts import COUNTRY_LAYOUT, INVENTORY_LAYOUT, STATION_LAYOUT
 from stratus.sources.daily import read_daily_csv, with_obs_minute
-from stratus.sources.fixed_width import parse_fixed_width, render_fixed_width
+from stratus.sources.fixed_width import fixed_width_rejects, parse_fixed_width, render_fixed_width
 from stratus.sources.sinks import reconcile_csv, write_csv, write_single_file
 
 
@@ -152,3 +152,14 @@ def test_lake_layout_row_groups_and_clustering(spark):
         keys = [(r["COUNTRY_CODE"], r["ELEMENT"], r["ID"], r["DATE"]) for r in t]
         assert keys == sorted(keys)
     assert read_observation_lake(spark, path).count() == obs.count()
+
+
+def test_fixed_width_rejects(spark):
+    lines = [
+        line((1, "A1"), (13, " 17.1333"), (22, " -61.7833"), (32, "  19.2")),
+        line((1, "A2"), (13, " 17.1x33"), (22, "         "), (32, "  abc ")),
+        "",
+    ]
+    r = fixed_width_rejects(spark.createDataFrame([(x,) for x in lines], "value string"), STATION_LAYOUT).first()
+    # blanks are missing values, not rejects; "17.1x33" and "abc" are rejects
+    assert (r.lines, r.LATITUDE_rejects, r.LONGITUDE_rejects, r.ELEVATION_rejects) == (3, 1, 0, 1)
