@@ -24,7 +24,7 @@ from stratus.operators import observations as ob
 from stratus.operators import pairs as pr
 from stratus.operators import quality as qa
 from stratus.operators import stations as stn
-from stratus.sources.daily import read_daily_csv, with_obs_minute
+from stratus.sources.daily import daily_rejects, read_daily_csv, with_obs_minute
 from stratus.sources.fixed_width import fixed_width_rejects, parse_fixed_width, read_fixed_width
 from stratus.sources.lake import prepare_observations, read_observation_lake, write_observation_lake
 from stratus.sources.sinks import reconcile_csv, write_csv, write_single_file, write_sorted
@@ -54,9 +54,12 @@ def load_archive(
     inventory: str,
     lake: str | None = None,
     convert: bool = False,
+    check_daily: bool = False,
 ) -> Archive:
     """Read the archive.  With ``lake`` the daily data comes from the
-    YEAR-partitioned Parquet copy (written first when ``convert``)."""
+    YEAR-partitioned Parquet copy (written first when ``convert``).
+    ``check_daily`` adds the malformed-line count of the daily files to
+    ``rejects`` (one more scan of the text)."""
     if lake and convert:
         write_observation_lake(with_obs_minute(read_daily_csv(spark, daily)), lake)
     if lake:
@@ -75,6 +78,12 @@ def load_archive(
             )
         )
     )
+    if check_daily:
+        rejects = rejects.unionByName(
+            daily_rejects(spark, daily).select(
+                F.lit("daily").alias("file"), "lines", F.col("rejected_lines").alias("rejected_values")
+            )
+        )
     return Archive(
         daily=obs,
         stations=parse_fixed_width(st_text, STATION_LAYOUT),
@@ -176,9 +185,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--country", default="NZ")
     p.add_argument("--active-year", type=int, default=2021)
     p.add_argument("--reconcile", action="store_true", help="read the outputs back and check row counts")
+    p.add_argument("--check-daily", action="store_true", help="count malformed lines of the daily files")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName("stratus-archive").getOrCreate()
-    a = load_archive(spark, args.daily, args.stations, args.countries, args.states, args.inventory, args.lake, args.convert)
+    a = load_archive(
+        spark, args.daily, args.stations, args.countries, args.states, args.inventory, args.lake, args.convert,
+        args.check_daily,
+    )
     res = analysis(a, args.country, args.active_year)
     paths = write_outputs(res, args.out)
     if args.reconcile:

@@ -72,3 +72,25 @@ def write_daily_archive(obs: DataFrame, path: str, by_year: bool = True) -> str:
         writer = writer.partitionBy("YEAR")
     writer.csv(path)
     return path
+
+
+def daily_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Count the malformed lines of daily CSV files in one scan of the raw
+    text: a wrong number of fields, a date that is not ``yyyyMMdd`` or a
+    value that is not a number (blank fields are missing, not malformed).
+    One row: lines, rejected_lines.
+
+    The typed reader keeps such rows with nulls; this makes them visible.
+    It works on the text itself, so no parse is skipped by column pruning.
+    """
+    n_fields = len(DAILY_SCHEMA.fields)
+    parts = F.split(F.col("value"), ",", -1)
+    # F.get: null past the end (short lines are caught by the field count)
+    date_txt, value_txt = F.trim(F.get(parts, 1)), F.trim(F.get(parts, 3))
+    bad = (
+        (F.size(parts) != n_fields)
+        | ((date_txt != "") & (~date_txt.rlike("^[0-9]{8}$") | F.try_to_timestamp(date_txt, F.lit(DAILY_DATE_FORMAT)).isNull()))
+        | ((value_txt != "") & value_txt.try_cast("float").isNull())
+    )
+    lines = spark.read.text(path)
+    return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected_lines"))

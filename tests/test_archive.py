@@ -30,12 +30,12 @@ def test_archive_job_end_to_end(spark):
         inventory=_write_text(render_fixed_width(fx.fx_inventory(spark, SF), INVENTORY_LAYOUT), f"{base}/inventory"),
         daily=write_daily_archive(fx.fx_obs_l(spark, SF), f"{base}/daily", by_year=False),
     )
-    a = ar.load_archive(spark, lake=f"{base}/lake", convert=True, **paths)
+    a = ar.load_archive(spark, lake=f"{base}/lake", convert=True, check_daily=True, **paths)
     res = ar.analysis(a, "07", 2001, core=("1-UR", "2-HI", "3-ME"), only_element="5-LO")
     # inventory ELEMENT is 4 characters wide in the layout, hence the short names
     assert res["enriched_stations"].count() == 1500
     assert {r.file: (r.lines, r.rejected_values) for r in res["parse_rejects"].collect()} == {
-        "stations": (1500, 0), "inventory": (5454, 0)}
+        "stations": (1500, 0), "inventory": (5454, 0), "daily": (60000, 0)}
     assert res["all_core_stations"].count() == 704
     assert res["only_element_stations"].count() == 2
     assert res["multi_network_stations"].count() == 86

@@ -163,3 +163,21 @@ def test_fixed_width_rejects(spark):
     r = fixed_width_rejects(spark.createDataFrame([(x,) for x in lines], "value string"), STATION_LAYOUT).first()
     # blanks are missing values, not rejects; "17.1x33" and "abc" are rejects
     assert (r.lines, r.LATITUDE_rejects, r.LONGITUDE_rejects, r.ELEVATION_rejects) == (3, 1, 0, 1)
+
+
+def test_daily_rejects(spark):
+    from stratus.sources.daily import daily_rejects
+
+    d = tempfile.mkdtemp(prefix="stratus-test-")
+    p = os.path.join(d, "x.csv")
+    with open(p, "w") as f:
+        f.write("AE000041196,20220101,TAVG,204,H,,S,\n")  # fine
+        f.write("X1,20100230,PRCP,5,,,,0700\n")  # impossible date
+        f.write("X2,20100101,PRCP,x1,,,,0700\n")  # bad number
+        f.write("X3,20100101,PRCP,5,,,,0700\n")  # fine
+        f.write("X4,2010010,PRCP,5,,,,0700\n")  # short date
+        f.write("X5,20100101,PRCP\n")  # missing fields
+    r = daily_rejects(spark, p).first()
+    assert (r.lines, r.rejected_lines) == (6, 4)
+    # the typed reader keeps all six rows (nulls where malformed)
+    assert read_daily_csv(spark, p).count() == 6
