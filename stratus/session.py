@@ -59,6 +59,7 @@ def local_session(app: str = "stratus", cores: int | str = "*", shuffle_partitio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # coalesce shuffle output to the advisory partition size, not to the
         # core count (Spark's recommendation for clusters)
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")

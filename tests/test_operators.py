@@ -194,3 +194,24 @@ def test_closest_pair_many_coincident_stations(spark):
     )
     r = pr.closest_pair(pts).first()
     assert (r.ID, r.ID_1, r.distance_km) == ("CC000000000", "CC000000003", 0.0)
+
+
+def test_lookup_join_broadcast_only_behind_size_check(spark):
+    from stratus.operators.joins import has_at_most, lookup_join
+
+    fact = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(10).select(F.col("id").alias("k"), F.format_string("n%d", "id").alias("name"))
+    assert has_at_most(dim, 10) and not has_at_most(dim, 9)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # engine-side broadcasting off: only the hint can broadcast
+    try:
+        small = lookup_join(fact, dim, "k", "left", max_broadcast_rows=10)
+        large = lookup_join(fact, dim, "k", "left", max_broadcast_rows=5)
+        plan_small = small._jdf.queryExecution().executedPlan().toString()
+        plan_large = large._jdf.queryExecution().executedPlan().toString()
+        assert small.count() == 1000 and large.count() == 1000
+    finally:
+        spark.conf.set(key, old)
+    assert "BroadcastHashJoin" in plan_small
+    assert "BroadcastHashJoin" not in plan_large and "SortMergeJoin" in plan_large

@@ -181,3 +181,12 @@ def test_daily_rejects(spark):
     assert (r.lines, r.rejected_lines) == (6, 4)
     # the typed reader keeps all six rows (nulls where malformed)
     assert read_daily_csv(spark, p).count() == 6
+
+
+def test_file_inventory_on_parquet(spark):
+    from stratus.sources.files import file_inventory
+
+    d = tempfile.mkdtemp(prefix="stratus-test-")
+    spark.range(300).repartition(3).write.parquet(os.path.join(d, "t"))
+    inv = file_inventory(spark, os.path.join(d, "t"), fmt="parquet").collect()
+    assert len(inv) == 3 and sum(r.row_count for r in inv) == 300 and all(r.file_bytes > 0 for r in inv)
