@@ -186,8 +186,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--active-year", type=int, default=2021)
     p.add_argument("--reconcile", action="store_true", help="read the outputs back and check row counts")
     p.add_argument("--check-daily", action="store_true", help="count malformed lines of the daily files")
+    p.add_argument("--ui", action="store_true", help="keep Spark's web UI on (off by default)")
     args = p.parse_args(argv)
-    spark = SparkSession.builder.appName("stratus-archive").getOrCreate()
+    spark = (
+        SparkSession.builder.appName("stratus-archive")
+        .config("spark.ui.enabled", "true" if args.ui else "false")
+        .getOrCreate()
+    )
     a = load_archive(
         spark, args.daily, args.stations, args.countries, args.states, args.inventory, args.lake, args.convert,
         args.check_daily,
