@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from stratus.functions.columns import array_text, obs_minute, trimmed_piece, year_int, year_text
 from stratus.functions.geo import haversine_km
-from stratus.layouts import COUNTRY_LAYOUT, INVENTORY_LAYOUT, STATION_LAYOUT
+from stratus.layouts import CORE_ELEMENTS, COUNTRY_LAYOUT, INVENTORY_LAYOUT, STATION_LAYOUT
 from stratus.operators import observations as ob
 from stratus.operators import pairs as pr
 from stratus.operators import quality as qa
@@ -50,9 +50,9 @@ def query(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- parameters
-# Element lists of the fixture views (the archive's own core list lives in
-# layouts.CORE_ELEMENTS; the observation fixture uses the same names).
-OBS_CORE = ("PRCP", "SNOW", "SNWD", "TMAX", "TMIN")
+# Element lists of the fixture views: the observation fixtures use the
+# archive's own element names; the inventory fixture uses order priorities.
+OBS_CORE = CORE_ELEMENTS
 INV_CORE = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 ONLY_ELEMENT = "5-LOW"
 ACTIVE_YEAR = 2001
