@@ -22,7 +22,8 @@ def read_daily_csv(
     ``.../YEAR={199[8-9],2000}``.  gzip is picked from the file extension;
     a gzip file is not splittable, so each file is one task - convert to
     the Parquet lake once (``write_observation_lake``) for repeated work.
-    Malformed dates / numbers become null and the row is kept.
+    Malformed dates / numbers become null and the row is kept
+    (``daily_rejects`` counts such lines).
     """
     reader = (
         spark.read.option("header", "false")
