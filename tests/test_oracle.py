@@ -47,3 +47,24 @@ def test_rows_only_keys(spark):
     assert rec.ok and rec.source_rows == 25
     inv = E.queries()["src_file_inventory"](spark, SF)
     assert inv.agg({"row_count": "sum"}).first()[0] == E.queries()["obs_per_year"](spark, SF).agg({"observation_count": "sum"}).first()[0]
+
+
+@pytest.mark.parametrize(
+    "key", ["enrich_stations", "rainfall_country_year", "geo_country_pairs", "geo_closest_pair", "join_left_anti"]
+)
+def test_without_broadcasts(spark, duck, key):
+    """Beyond the broadcast bound the same plans run as shuffle joins."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        sdf = E.queries()[key](spark, SF)
+        plan = sdf._jdf.queryExecution().executedPlan().toString()
+        spdf = sdf.toPandas()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "BroadcastHashJoin" not in plan
+    opdf = duck.execute(E.oracle_sql()[key]).df()
+    assert len(spdf) == len(opdf) and digest(spdf) == digest(opdf)
