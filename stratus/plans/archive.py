@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratus.functions.columns import array_text
 from stratus.layouts import CORE_ELEMENTS, COUNTRY_LAYOUT, INVENTORY_LAYOUT, STATE_LAYOUT, STATION_LAYOUT
 from stratus.operators import observations as ob
 from stratus.operators import pairs as pr
@@ -148,7 +149,7 @@ def analysis(
 def write_outputs(results: dict[str, DataFrame], out: str) -> dict[str, str]:
     """Write the result tables of the analysis (CSV with header)."""
     out = out.rstrip("/")
-    enriched = results["enriched_stations"].withColumn("ELEMENT_LIST", F.concat_ws(",", "ELEMENT_LIST"))
+    enriched = results["enriched_stations"].withColumn("ELEMENT_LIST", array_text("ELEMENT_LIST"))
     paths = {
         "enriched_stations": write_csv(enriched, f"{out}/enriched-stations.csv.gz", compression="gzip"),
         "stations_per_country": write_csv(results["stations_per_country"], f"{out}/stations-per-country.csv"),
