@@ -38,10 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="stratus-ckpt-"))
         d = conf_dir or sc.getCheckpointDir()
     else:
-        d = conf_dir
-        if not d:
-            d = tempfile.mkdtemp(prefix="stratus-ckpt-")
-            spark.conf.set(_CKPT_KEY, d)
+        # Spark Connect: the folder is the server's static setting; without
+        # one (local use) a fresh local folder is used for written tables
+        d = conf_dir or tempfile.mkdtemp(prefix="stratus-ckpt-")
     return d.rstrip("/")
 
 
