@@ -31,3 +31,25 @@ def test_pruned_read_schema(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     # events is read with only the columns the query needs
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in text  # ts, value, props pruned
+
+
+def final_plan(df) -> str:
+    df.collect()  # run this DataFrame's own execution: the adaptive plan is final
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_rainfall_aggregates_before_shuffle_and_names_after(spark):
+    lines = final_plan(E.queries()["rainfall_country_year"](spark, SF)).splitlines()
+    idx = lambda pat: next(i for i, l in enumerate(lines) if pat in l)
+    name_join = idx("LeftOuter")
+    final_agg = idx("HashAggregate(keys=[COUNTRY_CODE")
+    partial = idx("partial_avg")
+    shuffle = idx("Exchange hashpartitioning(COUNTRY_CODE")
+    # top-down: names joined above the final aggregate; partial avg below the shuffle
+    assert name_join < final_agg < shuffle < partial
+
+
+def test_tmin_without_tmax_single_shuffle(spark):
+    plan = final_plan(E.queries()["tmin_without_tmax"](spark, SF))
+    shuffles = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "Reused" not in l]
+    assert len(shuffles) == 1 and "hashpartitioning(ID" in shuffles[0] and "DATE" in shuffles[0]
