@@ -53,3 +53,15 @@ def test_tmin_without_tmax_single_shuffle(spark):
     plan = final_plan(E.queries()["tmin_without_tmax"](spark, SF))
     shuffles = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "Reused" not in l]
     assert len(shuffles) == 1 and "hashpartitioning(ID" in shuffles[0] and "DATE" in shuffles[0]
+
+
+def test_enrich_broadcasts_dimensions(spark):
+    plan = final_plan(E.queries()["enrich_stations"](spark, SF))
+    assert "BroadcastHashJoin [COUNTRY_CODE]" in plan and "BroadcastHashJoin [STATE]" in plan
+
+
+def test_element_counts_partial_before_shuffle(spark):
+    lines = final_plan(E.queries()["core_element_counts"](spark, SF)).splitlines()
+    shuffle = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(ELEMENT" in l)
+    partial = next(i for i, l in enumerate(lines) if "partial_count" in l)
+    assert shuffle < partial
