@@ -1,9 +1,11 @@
 """Readers and writers: delimited gzip text, fixed-width text, Parquet lake."""
 
 from stratus.sources.daily import (  # noqa: F401
+    daily_rejects,
     read_daily_csv,
     read_untyped_csv,
     with_obs_minute,
+    write_daily_archive,
 )
 from stratus.sources.files import file_inventory  # noqa: F401
 from stratus.sources.fixed_width import (  # noqa: F401
