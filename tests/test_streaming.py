@@ -40,3 +40,18 @@ def test_ingest_is_exactly_once(spark):
     got = {r.YEAR: r["count"] for r in lk.groupBy("YEAR").count().collect()}
     assert got == {2020: 500, 2021: 300}
     assert set(lk.columns) >= {"ID", "DATE", "ELEMENT", "VALUE", "YEAR", "COUNTRY_CODE"}
+
+
+def test_ingest_many_micro_batches(spark):
+    base = tempfile.mkdtemp(prefix="stratus-stream-")
+    src, lake, ckpt = (os.path.join(base, x) for x in ("src", "lake", "ckpt"))
+    write_daily_archive(_obs(spark, 2019, 400).repartition(4), os.path.join(base, "parts"), by_year=False)
+    os.makedirs(src)
+    parts = [f for f in os.listdir(os.path.join(base, "parts")) if f.startswith("part-")]
+    assert len(parts) == 4
+    for f in parts:
+        os.replace(os.path.join(base, "parts", f), os.path.join(src, f))
+    q = ingest_daily_stream(spark, src, lake, ckpt, max_files_per_trigger=1)
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 4  # one file per micro-batch
+    assert read_observation_lake(spark, lake).count() == 400
