@@ -190,3 +190,37 @@ def test_file_inventory_on_parquet(spark):
     spark.range(300).repartition(3).write.parquet(os.path.join(d, "t"))
     inv = file_inventory(spark, os.path.join(d, "t"), fmt="parquet").collect()
     assert len(inv) == 3 and sum(r.row_count for r in inv) == 300 and all(r.file_bytes > 0 for r in inv)
+
+
+def test_lake_write_splits_a_hot_country(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from stratus.sources.lake import write_observation_lake
+
+    n = 30000
+    # one country-year holds a third of all rows
+    obs = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HT")).otherwise(F.format_string("C%d", (F.col("id") % 40).cast("int")))
+        .alias("CC"),
+        F.col("id"),
+    ).select(
+        F.concat(F.col("CC"), F.format_string("%09d", "id")).alias("ID"),
+        F.lit("2020-06-01").cast("date").alias("DATE"),
+        F.lit("PRCP").alias("ELEMENT"),
+        F.col("id").cast("float").alias("VALUE"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")  # stands in for 128 MB at cluster scale
+    try:
+        path = write_observation_lake(obs, os.path.join(tempfile.mkdtemp(prefix="stratus-hot-"), "lake"))
+    finally:
+        spark.conf.set(key, old)
+    files = glob.glob(os.path.join(path, "YEAR=2020", "*.parquet"))
+    hot = [f for f in files if "HT" in pq.read_table(f, columns=["COUNTRY_CODE"]).column(0).to_pylist()]
+    rows = [pq.ParquetFile(f).metadata.num_rows for f in hot]
+    assert sum(pq.ParquetFile(f).metadata.num_rows for f in files) == n
+    assert len(hot) > 1, "the hot country was written by one task"
+    assert max(rows) < n // 3  # no single file holds the whole hot group
