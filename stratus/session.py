@@ -3,7 +3,7 @@
 Library code never builds a session; it takes the caller's.  Written
 tables go to the shared folder named by ``spark.checkpoint.dir`` (on a
 cluster that is a distributed filesystem every executor can reach).
-Only when nothing is configured - local tests - a folder is set here.
+Only a local master without the setting (tests) gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     It is also made the context's checkpoint directory, so ``checkpoint()``
-    writes there.  Only when nothing is configured (local tests) a fresh
-    local folder is set.
+    writes there.  Without the setting a local master gets a fresh local
+    folder; any other master raises, since each executor would write to
+    its own disk.
     """
     try:
         sc = spark.sparkContext
@@ -33,20 +34,35 @@ def shared_dir(spark: SparkSession) -> str:
             conf_dir = spark.conf.get(_CKPT_KEY, None)
         except Exception:  # pragma: no cover - key unknown to the session conf
             conf_dir = None
-    if sc is not None:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="stratus-ckpt-"))
-        d = conf_dir or sc.getCheckpointDir()
-    else:
-        # Spark Connect: the folder is the server's static setting; without
-        # one (local use) a fresh local folder is used for written tables
-        d = conf_dir or tempfile.mkdtemp(prefix="stratus-ckpt-")
-    return d.rstrip("/")
+    if sc is None:
+        if not conf_dir:
+            raise ValueError(f"set {_CKPT_KEY} to a folder that all executors share")
+        return conf_dir.rstrip("/")
+    if not sc.getCheckpointDir():
+        if not conf_dir and not is_local(sc.master):
+            raise ValueError(f"master {sc.master}: set {_CKPT_KEY} to a folder that all executors share")
+        sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="stratus-ckpt-"))
+    return (conf_dir or sc.getCheckpointDir()).rstrip("/")
+
+
+def is_local(master: str) -> bool:
+    """Whether a master URL means one process (``local-cluster`` does not)."""
+    return master == "local" or master.startswith("local[")
+
+
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """Has Hadoop's file system remove ``path`` when the driver's JVM ends."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
 def output_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for one written table."""
-    return f"{shared_dir(spark)}/stratus-out/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared folder for one written table, removed when the driver ends."""
+    path = f"{shared_dir(spark)}/stratus-out/{name}-{uuid.uuid4().hex[:12]}"
+    _remove_at_end(spark, path)
+    return path
 
 
 def local_session(app: str = "stratus", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
