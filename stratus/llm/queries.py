@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import exact_dedup, mixing, sharding
+from stratus.llm import bpe, exact_dedup, license_scan, mixing, quality, sharding
 from stratus.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +92,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+# ---------------------------------------------------------------- 4 BPE
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    coded = tokenizer.decode(tokenizer.encode(table(spark, sf_dir, "documents")))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 # ----------------------------------------------------------- 5 sharding
 def _shard_sql(n: int) -> str:
     draws = ", ".join(
@@ -130,3 +141,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     placed = sharding.shard_rows(docs, [1.0] * SHARDS, [1.0] * (SHARDS + 1))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+# ------------------------------------------------------ 9 license scans
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------ 10 quality classifier
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality.train(docs, table(spark, sf_dir, "labels"), quality.SAMPLE)
+    scored = quality.score_quality(docs, forest, quality.THRESHOLD)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
