@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import bpe, exact_dedup, license_scan, mixing, quality, sharding
+from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, quality, sharding
 from stratus.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +143,37 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+# --------------------------------------------------------- 6 line dedup
+@query(
+    "op6_line_dedup",
+    rf"""
+WITH l0 AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no FROM documents),
+l AS (SELECT *, doc_id::HUGEINT * 4294967296 + line_no AS place,
+        regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM l0),
+d AS (SELECT w, array_to_string(w, ' ') AS k, min(place) AS place FROM l WHERE len(w) > 0 GROUP BY w),
+v AS (SELECT k, place, k AS variant, -1 AS gap FROM d WHERE len(w) >= {line_dedup.MIN_NEAR}
+      UNION ALL
+      SELECT k, place, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' '), i
+      FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d WHERE len(w) >= {line_dedup.MIN_NEAR})),
+g AS (SELECT variant, gap, min(place) AS first FROM v GROUP BY ALL),
+h AS (SELECT variant, min(first) FILTER (gap > 0) AS lacking, min(first) FILTER (gap < 0) AS whole FROM g GROUP BY ALL),
+near AS (SELECT DISTINCT v.k FROM v JOIN g USING (variant, gap) JOIN h USING (variant)
+         WHERE v.place > least(g.first, CASE WHEN v.gap > 0 THEN h.whole ELSE h.lacking END)),
+out AS (SELECT l.doc_id, l.line_no, l.line, len(l.w) > 0 AS has_words, near.k IS NOT NULL AS near,
+        coalesce(near.k IS NOT NULL OR l.place <> d.place, false) AS gone
+        FROM l LEFT JOIN d ON len(l.w) > 0 AND array_to_string(l.w, ' ') = d.k LEFT JOIN near ON near.k = d.k)
+SELECT doc_id, count(*) FILTER (has_words) AS n_lines, count(*) FILTER (gone) AS n_dropped, count(*) FILTER (near) AS n_near,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')) AS text_sha256
+FROM out GROUP BY doc_id
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    return cut.select("doc_id", "n_lines", "n_dropped", "n_near", kept.alias("text_sha256"))
+
+
 # ------------------------------------------------------ 9 license scans
 @query("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
