@@ -36,7 +36,8 @@ def frequent_digests(digests: DataFrame, heavy: int = 1000, tracked: int = 4096,
     partial = digests.groupBy((F.spark_partition_id() % fan_in).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(text_sha256, {tracked})").alias("sketch")
     )
-    merged = partial.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    # grouped, so that empty partitions hold no sketch at all
+    merged = partial.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
     return merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {heavy})")).alias("top")).select(
         F.col("top.item").alias("text_sha256")
     )
