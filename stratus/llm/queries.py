@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, quality, sharding
+from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sharding
 from stratus.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,26 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
+# --------------------------------------------- 1 n-gram Jaccard join
+@query(
+    "op1_ngram_join",
+    r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+         FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+sizes AS (SELECT w.doc_id, count(s) AS n FROM w LEFT JOIN sets ON sets.doc_id = w.doc_id GROUP BY w.doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a)
+SELECT doc_id, n AS n_shingles, (SELECT min(b) FROM reach WHERE a = doc_id) AS component_id FROM sizes
+""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents"), width=ngram_join.WIDTH, percent=ngram_join.PERCENT)
+
+
 # ------------------------------------------------------------- 2 mixing
 _MIX_SQL = f"""
 WITH sized AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
