@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sharding
+from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sharding, topk_search, url_filter
 from stratus.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,6 +194,81 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", "n_near", kept.alias("text_sha256"))
 
 
+# -------------------------------------------------------- 7 top-k search
+@query(
+    "op7_topk_search",
+    """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256.0)
+
+
+# --------------------------------------------------------- 8 URL filters
+# The tables hold no lists and no fetch days.  Both are derived from the
+# pages: a page is fetched on a day that its id decides, and a key of the
+# pages' URLs is listed, delisted and listed again on days that the digits
+# of its own digest decide.
+_LISTS = {0: "malware", 1: "phishing", 2: "spam", 3: "allow"}
+
+
+def derived_entries(pages: DataFrame) -> DataFrame:
+    keys = pages.select(F.explode(url_filter.url_keys(url_filter.url_host(F.col("url")), url_filter.url_segment(F.col("url")))).alias("key"))
+    digit = lambda at, n: F.conv(F.substring(F.md5(F.col("key").cast("binary")), at, n), 16, 10).cast("int")
+    keys = keys.filter("key is not null").distinct().withColumns({"kind": digit(1, 1), "a": digit(2, 3), "b": digit(5, 3), "c": digit(8, 2)})
+    keys = keys.filter(F.col("kind").isin(*_LISTS))
+    name = F.coalesce(*[F.when(F.col("kind") == k, v) for k, v in _LISTS.items()])
+    start = F.col("a") % 1200
+    events = F.array(
+        F.struct(F.lit("add").alias("action"), start.alias("d")),
+        F.struct(F.lit("remove").alias("action"), (start + 1 + F.col("b") % 600).alias("d")),
+        F.struct(F.lit("add").alias("action"), (start + 1 + F.col("b") % 600 + F.col("c")).alias("d")),
+    )
+    e = keys.select(name.alias("list"), "key", F.explode(events).alias("e"))
+    return e.select("list", "key", "e.action", F.date_add(F.lit("2020-01-01").cast("date"), F.col("e.d")).alias("day"))
+
+
+_URL_SQL = rf"""
+WITH p AS (SELECT page_id, url, DATE '2020-01-01' + (page_id * 37 % 1826)::INT AS fetched,
+        nullif(regexp_replace(regexp_extract(lower(url), '{url_filter.HOST}', 1), '\.+$', ''), '') AS host,
+        nullif(regexp_extract(url, '{url_filter.SEGMENT}', 1), '') AS segment FROM pages),
+l AS (SELECT *, string_split(host, '.') AS labels FROM p),
+k AS (SELECT *, CASE WHEN len(labels) >= 2 THEN list_transform(range(1, len(labels)), lambda i: array_to_string(labels[i:], '.')) ELSE [host] END
+        || CASE WHEN segment IS NULL THEN [] ELSE [host || '/' || segment] END AS keys FROM l WHERE host IS NOT NULL),
+d AS (SELECT key, ('0x' || substr(md5(key), 1, 1))::INT AS kind, ('0x' || substr(md5(key), 2, 3))::INT AS a,
+        ('0x' || substr(md5(key), 5, 3))::INT AS b, ('0x' || substr(md5(key), 8, 2))::INT AS c
+        FROM (SELECT DISTINCT unnest(keys) AS key FROM k)),
+n AS (SELECT key, ['malware', 'phishing', 'spam', 'allow'][kind + 1] AS list, a % 1200 AS s, 1 + b % 600 AS b, c FROM d WHERE kind < 4),
+e AS (SELECT list, key, 'add' AS action, s AS day FROM n UNION ALL SELECT list, key, 'remove', s + b FROM n
+      UNION ALL SELECT list, key, 'add', s + b + c FROM n),
+g AS (SELECT list, key, day, bool_or(action = 'remove') AS removed FROM e GROUP BY ALL),
+i AS (SELECT *, lead(day) OVER (PARTITION BY list, key ORDER BY day) AS until FROM g),
+v AS (SELECT list, key, DATE '2020-01-01' + day::INT AS since, DATE '2020-01-01' + until::INT AS until FROM i WHERE NOT removed),
+m AS (SELECT page_id, url, v.*, row_number() OVER (PARTITION BY page_id, url ORDER BY length(v.key) DESC, list = 'allow' DESC, v.key DESC, list) AS r
+      FROM (SELECT page_id, url, fetched, unnest(keys) AS key FROM k) x JOIN v ON x.key = v.key AND since <= fetched AND (until IS NULL OR fetched < until))
+SELECT p.page_id, p.host, strftime(p.fetched, '%Y-%m-%d') AS fetched,
+       CASE WHEN m.list IS NULL THEN 'none' WHEN m.list = 'allow' THEN 'allow' ELSE 'block' END AS verdict,
+       m.list, m.key AS list_key, strftime(m.since, '%Y-%m-%d') AS since
+FROM p LEFT JOIN m ON m.page_id = p.page_id AND m.url = p.url AND m.r = 1
+"""
+
+
+@query("op8_url_filter", _URL_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("page_id") * 37 % 1826).cast("int"))
+    out = url_filter.filter_captures(pages.withColumn("fetched", fetched), derived_entries(pages))
+    dates = {c: F.date_format(c, "yyyy-MM-dd") for c in ("fetched", "since")}
+    return out.withColumns(dates).select("page_id", "host", "fetched", "verdict", "list", "list_key", "since")
+
+
 # ------------------------------------------------------ 9 license scans
 @query("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
