@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import id_digest
+from stratus.llm.common import free_name, id_digest
 from stratus.llm.hashing import word_hashes
 
 # Production parameters: labelled rows a model is fitted on at most (smallest id digests first), and its shape
@@ -228,10 +228,12 @@ def score_quality(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD,
     """The columns ``carry`` of ``docs`` with score (double, 0 to 1) and predicted (int) from the whole text.
 
     Only the text is read for the score; a null or empty text is scored as
-    a text without words.  One row per row of ``docs``.
+    a text without words.  One row per row of ``docs``; where a carried
+    column is called score or predicted, the added one gets an underscore.
     """
     shared = docs.sparkSession.sparkContext.broadcast(forest)
-    names = [*carry, "score", "predicted"]
+    added = [free_name(list(carry), c) for c in ("score", "predicted")]
+    names = [*carry, *added]
     text_at = list(carry).index("text") if "text" in carry else len(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,4 +244,4 @@ def score_quality(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD,
 
     picked = docs.select(*carry) if "text" in carry else docs.select(*carry, "text")
     fields = ",".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return picked.mapInArrow(run, f"{fields}, score double, predicted int")
+    return picked.mapInArrow(run, f"{fields}, {added[0]} double, {added[1]} int")
