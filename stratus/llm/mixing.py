@@ -77,23 +77,25 @@ def stream_positions(docs: DataFrame, per_bucket: int = 50_000) -> DataFrame:
 def slot_schedule(targets: DataFrame, block: int) -> DataFrame:
     """slot, source, rank, pass, block_no and words (how many of the block's first words the slot takes).
 
-    Ranks beyond a source's target are left out, and the last rank stops
-    where the target is reached.
+    A source's share of the slots is what its target needs, partial last
+    blocks included.  The schedule runs a little longer than that, for
+    sources that the points serve late; ranks beyond a source's target are
+    left out, and the last rank stops where the target is reached.
     """
     spark = targets.sparkSession
     order = Window.orderBy(F.col("source").asc_nulls_last())
-    t = targets.withColumn("upto", F.sum("target").over(order)).withColumn("all", F.sum("target").over(Window.partitionBy()))
-    t = t.filter(F.col("target") > 0).withColumn("hi", F.floor(F.col("upto") / F.col("all") * _ONE))
+    whole = F.floor(F.col("target") / F.col("source_size"))
+    rest = F.ceil((F.col("target") - whole * F.col("source_size")) / block)
+    t = targets.filter("target > 0").withColumn("need", whole * F.ceil(F.col("source_size") / block) + rest)
+    need = t.agg(F.coalesce(F.sum("need"), F.lit(0))).first()[0]
+    t = t.withColumn("upto", F.sum("need").over(order)).withColumn("hi", F.floor(F.col("upto") / F.lit(float(need)) * _ONE))
     t = t.withColumn("lo", F.coalesce(F.lag("hi").over(order), F.lit(0)))
-    # the last source's end may round below one
-    t = t.withColumn("hi", F.when(F.lead("hi").over(order).isNull(), F.lit(_ONE)).otherwise(F.col("hi")))
-    need = math.ceil(targets.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0] / block)
     width = _ONE // _CELLS
     cells = t.filter("hi > lo").select(
         "source", "source_size", "target", "lo", "hi",
         F.explode(F.sequence(F.expr(f"lo div {width}"), F.expr(f"(hi - 1) div {width}"))).alias("cell"),
     )
-    slots = spark.range(need).select(F.col("id").alias("slot"), (F.col("id") % _ONE * _STEP % _ONE).alias("point"))
+    slots = spark.range(need + need // 50 + 16).select(F.col("id").alias("slot"), (F.col("id") % _ONE * _STEP % _ONE).alias("point"))
     slots = slots.withColumn("cell", F.expr(f"point div {width}")).join(cells, "cell").filter("point >= lo and point < hi")
     slots = slots.withColumns({"source_key": F.struct("source"), "chunk": F.expr(f"slot div {_CHUNK}")})
     before = (
@@ -123,10 +125,10 @@ class Mix:
     def pieces(self, how: str = "inner") -> DataFrame:
         """The columns of ``docs`` and slot, pass, from_word, to_word for every part of a document that a slot takes.
 
-        ``how="left"`` also has a row for parts that no slot takes (slot null).
+        Documents without words have no part.  ``how="left"`` also has a row for parts that no slot takes (slot null).
         """
-        last = F.col("start") + F.greatest(F.col("size"), F.lit(1)) - 1
-        d = self.docs.withColumn("block_no", F.explode(F.sequence(F.expr(f"start div {self.block}"), F.floor(last / self.block))))
+        last = F.col("start") + F.col("size") - 1
+        d = self.docs.filter("size > 0").withColumn("block_no", F.explode(F.sequence(F.expr(f"start div {self.block}"), F.floor(last / self.block))))
         d = d.withColumn("source_key", F.struct("source")).join(self.slots, ["source_key", "block_no"], how)
         lo = F.greatest(F.col("start"), F.col("block_no") * self.block) - F.col("start")
         hi = F.least(F.col("start") + F.col("size"), F.col("block_no") * self.block + F.col("words")) - F.col("start")
@@ -136,11 +138,9 @@ class Mix:
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target, taken: one row per row of ``docs``."""
         words = F.when(F.col("slot").isNotNull(), F.greatest(F.col("to_word") - F.col("from_word"), F.lit(0)))
-        # size 0 repeats another row's start: such rows are told apart by their count
-        t = self.pieces("left").groupBy("doc_id", "source", "size", "start").agg(
-            F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"), F.count(F.lit(1)).alias("n")
-        )
-        t = t.withColumn("n", F.when(F.col("size") == 0, F.col("n")).otherwise(1)).withColumn("n", F.explode(F.expr("sequence(1, n)")))
+        row = ["doc_id", "source", "size", "start"]  # a row with words has a start of its own
+        t = self.pieces("left").groupBy(*row).agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"))
+        t = t.unionByName(self.docs.filter("size = 0").select(*row, F.lit(0).cast("long").alias("taken")))
         s = self.targets.withColumnRenamed("source", "of")
         t = t.join(s, F.col("source").eqNullSafe(F.col("of")))
         return t.select("doc_id", "size", "source_size", "target", "taken", "source")

@@ -70,11 +70,12 @@ s3 AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
 s4 AS (SELECT *, max(CASE WHEN lv <= fills_at THEN lv END) OVER () AS level FROM s3),
 t AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, level * weight) AS target FROM s4),
 p AS (SELECT greatest({MIX_LEAST_BLOCK}, ceil(coalesce(sum(target), 0) / {MIX_SLOTS}))::BIGINT AS block, coalesce(sum(target), 0) AS wanted FROM t),
-u AS (SELECT *, floor(sum(target) OVER (ORDER BY source ASC NULLS LAST) / sum(target) OVER () * 4294967296)::BIGINT AS hi0 FROM t),
-v AS (SELECT *, coalesce(lag(hi0) OVER (ORDER BY source ASC NULLS LAST), 0) AS lo,
-        CASE WHEN lead(hi0) OVER (ORDER BY source ASC NULLS LAST) IS NULL THEN 4294967296 ELSE hi0 END AS hi FROM u WHERE target > 0),
+u0 AS (SELECT t.*, floor(target / source_size)::BIGINT * ceil(source_size::DOUBLE / block)::BIGINT
+        + ceil((target - floor(target / source_size) * source_size) / block)::BIGINT AS need FROM t, p WHERE target > 0),
+u AS (SELECT *, floor((sum(need) OVER (ORDER BY source ASC NULLS LAST))::DOUBLE / (sum(need) OVER ())::DOUBLE * 4294967296)::BIGINT AS hi FROM u0),
+v AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY source ASC NULLS LAST), 0) AS lo FROM u),
 slots AS (SELECT slot, (slot % 4294967296) * 2654435769 % 4294967296 AS point
-        FROM p, unnest(range(ceil(wanted / block)::BIGINT)) AS r(slot)),
+        FROM (SELECT unnest(range((sum(need) + sum(need) // 50 + 16)::BIGINT)) AS slot FROM u0)),
 ranked AS (SELECT v.source, v.source_size, v.target, row_number() OVER (PARTITION BY v.source ORDER BY slot) - 1 AS rank
         FROM slots JOIN v ON point >= lo AND point < hi),
 cut AS (SELECT source, rank % ceil(source_size::DOUBLE / block)::BIGINT AS block_no,
