@@ -136,8 +136,6 @@ class Codec:
 
     def _learn(self, pieces: set[str]) -> None:
         """Answers the pieces that neither generation of the memo knows, together."""
-        if len(self.memo) + len(pieces) > _MEMO:
-            self.older, self.memo = self.memo, {}
         memo, older = self.memo, self.older
         new = []
         for p in pieces:
@@ -152,10 +150,9 @@ class Codec:
     def _pack(self, lists: list[list[str]]) -> list[bytes]:
         pieces = set().union(*lists)
         if unknown := pieces.difference(self.memo):
-            held = self.memo
+            if len(self.memo) + len(unknown) > _MEMO:  # a new generation, which needs all of the pieces
+                self.older, self.memo, unknown = self.memo, {}, pieces
             self._learn(unknown)
-            if self.memo is not held:  # a new generation: it needs the other pieces as well
-                self._learn(pieces.difference(self.memo))
         look_up = self.memo.__getitem__
         return [b"".join(map(look_up, x)) for x in lists]
 
