@@ -1,4 +1,4 @@
-"""Join helpers: dimension lookups whose broadcast is always size-checked."""
+"""Join helper: dimension lookups with a checked key."""
 
 from __future__ import annotations
 
@@ -6,32 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded row check: stops reading after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def unique_rows(dim: DataFrame, key: str) -> DataFrame:
+    """``dim`` with the promise that ``key`` is unique: a repeated key raises when the rows are read.
 
+    A repeated code in a lookup file would otherwise multiply the rows that
+    refer to it without any sign.
+    """
+    others = [c for c in dim.columns if c != key]
+    one = dim.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(c) for c in others])
+    told = F.concat(F.lit(f"{key} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    checked = F.when(F.col("_n") > 1, F.raise_error(told).cast(dim.schema[key].dataType)).otherwise(F.col(key))
+    return one.select(checked.alias(key), *others).select(*dim.columns)
 
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on,
-    how: str = "left",
-    max_broadcast_rows: int | None = None,
-) -> DataFrame:
-    """Join ``fact`` to a dimension table without ever broadcasting blindly.
 
-    Default: no hint.  Spark itself checks the dimension's size - at plan
-    time from file / plan statistics (``spark.sql.autoBroadcastJoinThreshold``)
-    and again at runtime from the real shuffle output (AQE,
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``) - and broadcasts
-    only under the threshold, otherwise it shuffles (sort-merge or
-    shuffled hash join).  No extra job is spent on the check.
+def lookup_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """Join ``fact`` to a dimension table whose key must be unique.
 
-    With ``max_broadcast_rows`` the caller asks for a broadcast *hint*,
-    given only after a bounded count proves the dimension small; beyond
-    the bound the join is left to the planner as above.
+    No broadcast hint: Spark checks the dimension's size at plan time
+    (``spark.sql.autoBroadcastJoinThreshold``) and again from the real
+    shuffle output (``spark.sql.adaptive.autoBroadcastJoinThreshold``),
+    broadcasts under the threshold and shuffles beyond it.
     """
-    side = dim
-    if max_broadcast_rows is not None and has_at_most(dim, max_broadcast_rows):
-        side = F.broadcast(dim)
-    return fact.join(side, on=on, how=how)
+    return fact.join(unique_rows(dim, on), on=on, how=how)

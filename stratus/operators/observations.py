@@ -67,10 +67,12 @@ def country_elements(obs: DataFrame, country: str, elements: Sequence[str] = ("T
     """All observations of ``elements`` in one country.
 
     On the Parquet lake COUNTRY_CODE is a real, clustered column, so the
-    equality filter is pushed into the scan and skips row groups.
+    equality filter is pushed into the scan and skips row groups; without
+    it the prefix of the id is, which sources can push as well.
     """
-    o = _with_cc(obs)
-    return o.filter((F.col("COUNTRY_CODE") == country) & F.col("ELEMENT").isin(list(elements)))
+    stored = "COUNTRY_CODE" in obs.columns
+    here = F.col("COUNTRY_CODE") == country if stored else F.col("ID").startswith(country)
+    return _with_cc(obs.filter(here & F.col("ELEMENT").isin(list(elements))))
 
 
 def daily_series_average(obs: DataFrame) -> DataFrame:

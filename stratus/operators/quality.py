@@ -28,14 +28,16 @@ def orphan_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 def match_count(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Left join as a check: total fact rows and rows that found the key.
 
-    The dimension keys are de-duplicated first, so the left join cannot
-    multiply fact rows and ``total_rows`` equals the fact count.
+    Fact rows are counted per key before the join (map-side partial
+    counts), so only one row per key meets the dimension, whose keys are
+    de-duplicated as well.
     """
     d = dim.select(F.col(dim_key).alias("_dk")).distinct().withColumn("_hit", F.lit(1))
-    j = fact.join(d, fact[fact_key] == d["_dk"], "left")
+    per_key = fact.groupBy(F.col(fact_key).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
+    j = per_key.join(d, F.col("_fk") == F.col("_dk"), "left")
     return j.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count("_hit").alias("matched_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.when(F.col("_hit").isNotNull(), F.col("_n"))), F.lit(0)).alias("matched_rows"),
     )
 
 

@@ -25,10 +25,10 @@ from stratus.operators import observations as ob
 from stratus.operators import pairs as pr
 from stratus.operators import quality as qa
 from stratus.operators import stations as stn
-from stratus.sources.daily import daily_rejects, read_daily_csv, with_obs_minute
+from stratus.sources.daily import daily_rejects, read_daily_csv
 from stratus.sources.fixed_width import fixed_width_rejects, parse_fixed_width, read_fixed_width
 from stratus.sources.lake import prepare_observations, read_observation_lake, write_observation_lake
-from stratus.sources.sinks import reconcile_csv, write_csv, write_single_file, write_sorted
+from stratus.sources.sinks import reconcile_csv, write_counted
 
 # --- fixed values: the territory rule of the station questions (country
 # names that contain the text but do not start with it) ---
@@ -55,18 +55,18 @@ def load_archive(
     inventory: str,
     lake: str | None = None,
     convert: bool = False,
-    check_daily: bool = False,
+    check_daily: bool = True,
 ) -> Archive:
     """Read the archive.  With ``lake`` the daily data comes from the
     YEAR-partitioned Parquet copy (written first when ``convert``).
     ``check_daily`` adds the malformed-line count of the daily files to
-    ``rejects`` (one more scan of the text)."""
+    ``rejects`` (one more scan of the text); malformed fields are null."""
     if lake and convert:
-        write_observation_lake(with_obs_minute(read_daily_csv(spark, daily)), lake)
+        write_observation_lake(read_daily_csv(spark, daily), lake)
     if lake:
         obs = read_observation_lake(spark, lake)
     else:
-        obs = prepare_observations(with_obs_minute(read_daily_csv(spark, daily)))
+        obs = prepare_observations(read_daily_csv(spark, daily))
     st_text, inv_text = spark.read.text(stations), spark.read.text(inventory)
     rejects = (
         fixed_width_rejects(st_text, STATION_LAYOUT)
@@ -104,7 +104,11 @@ def analysis(
     rain_element: str = "PRCP",
     pair_elements: Sequence[str] = ("TMIN", "TMAX"),
 ) -> dict[str, DataFrame]:
-    """Every question of the analysis as a lazy DataFrame (nothing runs yet)."""
+    """Every question of the analysis as a lazy DataFrame (nothing runs yet).
+
+    STATION_NUM_EACH_COUNTRY and STATION_NUM_STATE are fixed values: the
+    published names of the two count columns.
+    """
     enriched = stn.enrich_stations(a.stations, a.countries, a.states, a.inventory, core)
     st_cc = stn.with_country_code(a.stations)
     per_country = stn.stations_per_area(a.countries, st_cc, "COUNTRY_CODE", "COUNTRY_NAME", "STATION_NUM_EACH_COUNTRY")
@@ -146,33 +150,33 @@ def analysis(
     return out
 
 
-def write_outputs(results: dict[str, DataFrame], out: str) -> dict[str, str]:
-    """Write the result tables of the analysis (CSV with header)."""
+def write_outputs(results: dict[str, DataFrame], out: str) -> tuple[dict[str, str], dict[str, int]]:
+    """Write the result tables (CSV with header): their paths, and the rows each write has seen."""
     out = out.rstrip("/")
     enriched = results["enriched_stations"].withColumn("ELEMENT_LIST", array_text("ELEMENT_LIST"))
-    paths = {
-        "enriched_stations": write_csv(enriched, f"{out}/enriched-stations.csv.gz", compression="gzip"),
-        "stations_per_country": write_csv(results["stations_per_country"], f"{out}/stations-per-country.csv"),
-        "stations_per_state": write_csv(results["stations_per_state"], f"{out}/stations-per-state.csv"),
-        "country_pairs": write_csv(results["country_pairs"], f"{out}/country-pair-distances.csv"),
-        "country_tmin_tmax": write_sorted(
-            results["country_tmin_tmax"].select("ID", "DATE", "ELEMENT", "VALUE", "MFLAG", "QFLAG", "SFLAG", "OBS_MINUTE"),
-            f"{out}/country-tmin-tmax.csv",
-            ["ID", "DATE"],
-        ),
-        "country_series": write_single_file(results["country_series"], f"{out}/country-series.csv"),
-        "rainfall": write_single_file(results["rainfall"], f"{out}/rainfall.csv"),
+    readings = results["country_tmin_tmax"].select("ID", "DATE", "ELEMENT", "VALUE", "MFLAG", "QFLAG", "SFLAG", "OBS_MINUTE")
+    day = ["ID", "DATE", "ELEMENT"]
+    plan = {
+        "enriched_stations": (enriched, "enriched-stations.csv.gz", {"compression": "gzip"}),
+        "stations_per_country": (results["stations_per_country"], "stations-per-country.csv", {}),
+        "stations_per_state": (results["stations_per_state"], "stations-per-state.csv", {}),
+        "country_pairs": (results["country_pairs"], "country-pair-distances.csv", {}),
+        "country_tmin_tmax": (readings, "country-tmin-tmax.csv", {"keys": day}),
+        "country_series": (results["country_series"], "country-series.csv", {"keys": day}),
+        "rainfall": (results["rainfall"], "rainfall.csv", {"single": True}),
     }
-    return paths
+    paths = {name: f"{out}/{file}" for name, (_, file, _) in plan.items()}
+    rows = {name: write_counted(df, paths[name], **how) for name, (df, _, how) in plan.items()}
+    return paths, rows
 
 
-def reconcile_outputs(spark: SparkSession, results: dict[str, DataFrame], paths: dict[str, str]) -> DataFrame:
-    """Read every written CSV back and compare its data lines with the
-    source row count (one row per output: lines, headers, data_rows,
-    source_rows, ok).  Gzip parts are read transparently."""
+def reconcile_outputs(spark: SparkSession, paths: dict[str, str], rows: dict[str, int]) -> DataFrame:
+    """Read every written CSV back and compare its rows with those the write
+    has seen (one row per output: files, data_rows, source_rows, ok).  Gzip
+    parts are read transparently."""
     out = None
     for name, path in sorted(paths.items()):
-        r = reconcile_csv(spark, path, results[name]).select(F.lit(name).alias("output"), "*")
+        r = reconcile_csv(spark, path, rows[name]).select(F.lit(name).alias("output"), "*")
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -186,22 +190,22 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--country", default="NZ")
     p.add_argument("--active-year", type=int, default=2021)
     p.add_argument("--reconcile", action="store_true", help="read the outputs back and check row counts")
-    p.add_argument("--check-daily", action="store_true", help="count malformed lines of the daily files")
+    p.add_argument("--no-daily-check", action="store_true", help="do not count malformed lines of the daily files")
+    p.add_argument("--work-dir", help="folder that all executors share, for intermediate tables (spark.checkpoint.dir)")
     p.add_argument("--ui", action="store_true", help="keep Spark's web UI on (off by default)")
     args = p.parse_args(argv)
-    spark = (
-        SparkSession.builder.appName("stratus-archive")
-        .config("spark.ui.enabled", "true" if args.ui else "false")
-        .getOrCreate()
-    )
+    builder = SparkSession.builder.appName("stratus-archive").config("spark.ui.enabled", "true" if args.ui else "false")
+    if args.work_dir:
+        builder = builder.config("spark.checkpoint.dir", args.work_dir)
+    spark = builder.getOrCreate()
     a = load_archive(
         spark, args.daily, args.stations, args.countries, args.states, args.inventory, args.lake, args.convert,
-        args.check_daily,
+        not args.no_daily_check,
     )
     res = analysis(a, args.country, args.active_year)
-    paths = write_outputs(res, args.out)
+    paths, rows = write_outputs(res, args.out)
     if args.reconcile:
-        reconcile_outputs(spark, res, paths).show(truncate=False)
+        reconcile_outputs(spark, paths, rows).show(truncate=False)
     for key in ("parse_rejects", "station_summary", "territory_total", "core_element_counts", "tmin_without_tmax_stations",
                 "years_covered", "closest_pair", "rainfall_top"):
         res[key].show(truncate=False)

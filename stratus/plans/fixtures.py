@@ -10,41 +10,14 @@ SQL text (the DuckDB oracle's CTEs).  Both must give identical rows.
 from __future__ import annotations
 
 import re
-import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.plans.tables import table
 
-# Fixture views are immutable, lazy plans over read-only inputs: build each
-# once per (session, directory) and hand the same DataFrame to every query
-# (saves re-analysing the same sub-plan; no data is cached).
-_VIEWS: dict[tuple, DataFrame] = {}
-_VIEWS_LOCK = threading.Lock()
-
-
-def _memo(fn):
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (fn.__name__, id(spark), spark.sparkContext.applicationId if _has_sc(spark) else "", sf_dir.rstrip("/"))
-        with _VIEWS_LOCK:
-            df = _VIEWS.get(key)
-        if df is None:
-            df = fn(spark, sf_dir)
-            with _VIEWS_LOCK:
-                df = _VIEWS.setdefault(key, df)
-        return df
-
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
-
-
-def _has_sc(spark: SparkSession) -> bool:
-    try:
-        return spark.sparkContext is not None
-    except Exception:  # Spark Connect
-        return False
+# The four-character element codes that stand for the order priorities
+INVENTORY_CODES = {"1-URGENT": "PRCP", "2-HIGH": "SNOW", "3-MEDIUM": "TMIN", "4-NOT SPECIFIED": "TAVG", "5-LOW": "WESD"}
 
 
 def _station_id(nation_key: str, entity_key: str) -> Column:
@@ -54,7 +27,14 @@ def _station_id(nation_key: str, entity_key: str) -> Column:
     )
 
 
-@_memo
+def _latitude(key: Column) -> Column:
+    return ((key * 7919) % 18000).cast("double") / 100 - 90
+
+
+def _longitude(key: Column) -> Column:
+    return ((key * 104729) % 36000).cast("double") / 100 - 180
+
+
 def fx_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -64,7 +44,6 @@ def fx_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def fx_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     seg = c.select(F.substring("c_mktsegment", 1, 2).alias("CODE"), F.col("c_mktsegment").alias("STATE_NAME")).distinct()
@@ -74,15 +53,14 @@ def fx_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seg.unionByName(extra)
 
 
-@_memo
 def fx_station(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     return c.select(
         _station_id("c_nationkey", "c_custkey").alias("ID"),
-        ((k * 7919) % 18000).cast("double") / 100 - 90,
-        ((k * 104729) % 36000).cast("double") / 100 - 180,
-        F.col("c_acctbal").alias("ELEVATION"),
+        _latitude(k),
+        _longitude(k),
+        F.floor(F.col("c_acctbal") / 10).cast("double"),
         F.when(k % 3 == 0, F.lit("")).otherwise(F.substring("c_mktsegment", 1, 2)).alias("STATE"),
         F.col("c_name").alias("NAME"),
         F.when(k % 5 == 0, F.lit("GSN")).otherwise(F.lit("")).alias("GFLAG"),
@@ -91,35 +69,33 @@ def fx_station(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).toDF("ID", "LATITUDE", "LONGITUDE", "ELEVATION", "STATE", "NAME", "GFLAG", "HCFLAG", "WMOID")
 
 
-@_memo
 def fx_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    # the rule leaves some stations with no inventory at all (a real case
-    # of the archive: the enrichment must keep them, with null profile)
-    j = o.join(c, o.o_custkey == c.c_custkey).filter((F.col("c_custkey") % 11 != 0) & (F.col("o_totalprice") > 100000))
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    element = F.coalesce(*[F.when(F.col("o_orderpriority") == p, e) for p, e in INVENTORY_CODES.items()])
     return j.groupBy("c_nationkey", "c_custkey", "o_orderpriority").agg(
         F.min(F.year("o_orderdate")).cast("int").alias("FIRSTYEAR"),
         F.max(F.year("o_orderdate")).cast("int").alias("LASTYEAR"),
     ).select(
         _station_id("c_nationkey", "c_custkey").alias("ID"),
-        F.col("o_orderpriority").alias("ELEMENT"),
+        F.round(_latitude(F.col("c_custkey")), 2).alias("LAT"),
+        F.round(_longitude(F.col("c_custkey")), 2).alias("LONG"),
+        element.alias("ELEMENT"),
         "FIRSTYEAR",
         "LASTYEAR",
     )
 
 
-@_memo
 def fx_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx_obs_time(spark, sf_dir).drop("OBV_TIME")
+    return fx_obs_time(spark, sf_dir).select("ID", "DATE", "ELEMENT", "VALUE")
 
 
-@_memo
 def fx_obs_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_obs plus the observation time of day as ``HHmm`` text."""
+    """fx_obs plus the three flags (null where blank) and the time of day as ``HHmm`` text."""
     e = table(spark, sf_dir, "events")
     c = table(spark, sf_dir, "customer")
-    et = F.col("event_type")
+    et, k = F.col("event_type"), F.col("event_id")
     element = (
         F.when(et == "view", "TMIN")
         .when(et == "click", "TMAX")
@@ -132,11 +108,13 @@ def fx_obs_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("date").alias("DATE"),
         element.alias("ELEMENT"),
         F.col("value").alias("VALUE"),
+        F.when(k % 4 == 0, "H").when(k % 4 == 1, "P").alias("MFLAG"),
+        F.when(k % 9 == 0, "G").alias("QFLAG"),
+        F.when(k % 3 == 0, "S").when(k % 3 == 1, "7").otherwise("W").alias("SFLAG"),
         F.date_format("ts", "HHmm").alias("OBV_TIME"),
     )
 
 
-@_memo
 def fx_obs_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     s = table(spark, sf_dir, "supplier")
@@ -159,7 +137,7 @@ UNION ALL SELECT 'PI' AS CODE, 'PACIFIC ISLANDS' AS STATE_NAME""",
     "fx_station": """SELECT concat(lpad(CAST(c_nationkey AS VARCHAR), 2, '0'), lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS ID,
   CAST((c_custkey * 7919) % 18000 AS DOUBLE) / 100 - 90 AS LATITUDE,
   CAST((c_custkey * 104729) % 36000 AS DOUBLE) / 100 - 180 AS LONGITUDE,
-  c_acctbal AS ELEVATION,
+  CAST(floor(c_acctbal / 10) AS DOUBLE) AS ELEVATION,
   CASE WHEN c_custkey % 3 = 0 THEN '' ELSE substr(c_mktsegment, 1, 2) END AS STATE,
   c_name AS NAME,
   CASE WHEN c_custkey % 5 = 0 THEN 'GSN' ELSE '' END AS GFLAG,
@@ -167,10 +145,12 @@ UNION ALL SELECT 'PI' AS CODE, 'PACIFIC ISLANDS' AS STATE_NAME""",
   CASE WHEN c_custkey % 4 = 0 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') ELSE '' END AS WMOID
 FROM customer""",
     "fx_inventory": """SELECT concat(lpad(CAST(c_nationkey AS VARCHAR), 2, '0'), lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS ID,
-  o_orderpriority AS ELEMENT,
+  round(CAST((c_custkey * 7919) % 18000 AS DOUBLE) / 100 - 90, 2) AS LAT,
+  round(CAST((c_custkey * 104729) % 36000 AS DOUBLE) / 100 - 180, 2) AS LONG,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'PRCP' WHEN '2-HIGH' THEN 'SNOW' WHEN '3-MEDIUM' THEN 'TMIN'
+    WHEN '4-NOT SPECIFIED' THEN 'TAVG' WHEN '5-LOW' THEN 'WESD' END AS ELEMENT,
   CAST(min(year(o_orderdate)) AS INTEGER) AS FIRSTYEAR, CAST(max(year(o_orderdate)) AS INTEGER) AS LASTYEAR
 FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE c_custkey % 11 <> 0 AND o_totalprice > 100000
 GROUP BY c_nationkey, c_custkey, o_orderpriority""",
     "fx_obs": """SELECT concat(lpad(CAST(c_nationkey AS VARCHAR), 2, '0'), lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS ID,
   CAST(ts AS DATE) AS DATE,
@@ -181,6 +161,8 @@ FROM events JOIN customer ON user_id = c_custkey""",
   CAST(ts AS DATE) AS DATE,
   CASE event_type WHEN 'view' THEN 'TMIN' WHEN 'click' THEN 'TMAX' WHEN 'purchase' THEN 'PRCP' WHEN 'signup' THEN 'SNOW' ELSE 'TAVG' END AS ELEMENT,
   value AS VALUE,
+  CASE event_id % 4 WHEN 0 THEN 'H' WHEN 1 THEN 'P' END AS MFLAG, CASE event_id % 9 WHEN 0 THEN 'G' END AS QFLAG,
+  CASE event_id % 3 WHEN 0 THEN 'S' WHEN 1 THEN '7' ELSE 'W' END AS SFLAG,
   CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS OBS_MINUTE
 FROM events JOIN customer ON user_id = c_custkey""",
     "fx_obs_l": """SELECT concat(lpad(CAST(s_nationkey AS VARCHAR), 2, '0'), lpad(CAST(s_suppkey AS VARCHAR), 9, '0')) AS ID,

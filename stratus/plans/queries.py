@@ -13,11 +13,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratus.functions.columns import array_text, obs_minute, trimmed_piece, year_int, year_text
 from stratus.functions.geo import haversine_km
-from stratus.layouts import CORE_ELEMENTS, COUNTRY_LAYOUT, INVENTORY_LAYOUT, STATION_LAYOUT
+from stratus.layouts import CORE_ELEMENTS, COUNTRY_LAYOUT, INVENTORY_LAYOUT, STATE_LAYOUT, STATION_LAYOUT
 from stratus.operators import observations as ob
 from stratus.operators import pairs as pr
 from stratus.operators import quality as qa
@@ -27,10 +26,10 @@ from stratus.plans import fixtures as fx
 from stratus.plans.tables import table
 from stratus.session import output_path
 from stratus.sources.daily import read_daily_csv, read_untyped_csv, with_obs_minute, write_daily_archive
-from stratus.sources.files import file_inventory
+from stratus.sources.files import file_inventory, inventory_totals
 from stratus.sources.fixed_width import read_fixed_width, render_fixed_width
 from stratus.sources.lake import read_observation_lake, write_observation_lake
-from stratus.sources.sinks import reconcile_csv, write_csv, write_single_file, write_sorted
+from stratus.sources.sinks import reconcile_csv, write_counted, write_csv, write_single_file, write_sorted
 from stratus.streaming.ingest import ingest_daily_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,11 +49,11 @@ def query(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- parameters
-# Element lists of the fixture views: the observation fixtures use the
-# archive's own element names; the inventory fixture uses order priorities.
+# Element lists of the fixture views: both use the archive's own element
+# names; the inventory fixture has five of them, three of them core.
 OBS_CORE = CORE_ELEMENTS
-INV_CORE = ("1-URGENT", "2-HIGH", "3-MEDIUM")
-ONLY_ELEMENT = "5-LOW"
+INV_CORE = ("PRCP", "SNOW", "TMIN")
+ONLY_ELEMENT = "WESD"
 ACTIVE_YEAR = 2001
 PAIR_COUNTRY = "07"
 ONE_YEAR = 2000
@@ -83,13 +82,14 @@ def r6(c) -> F.Column:
 # =============================================================== sources
 @query(
     "src_daily_csv",
-    "SELECT ID, DATE, ELEMENT, round(VALUE, 2) AS VALUE, OBS_MINUTE FROM fx_obs_time",
+    "SELECT ID, DATE, ELEMENT, round(VALUE, 2) AS VALUE, MFLAG, QFLAG, SFLAG, OBS_MINUTE FROM fx_obs_time",
 )
 def src_daily_csv(spark, d):
     path = output_path(spark, "daily-csv")
     write_daily_archive(fx.fx_obs_time(spark, d), path, by_year=False)
     back = with_obs_minute(read_daily_csv(spark, path))
-    return back.select("ID", "DATE", "ELEMENT", F.round(F.col("VALUE").cast("double"), 2).alias("VALUE"), "OBS_MINUTE")
+    value = F.round(F.col("VALUE").cast("double"), 2).alias("VALUE")
+    return back.select("ID", "DATE", "ELEMENT", value, "MFLAG", "QFLAG", "SFLAG", "OBS_MINUTE")
 
 
 def _archive_by_year(spark, d) -> str:
@@ -134,7 +134,7 @@ def _fixed_width_roundtrip(spark, df, layout, name):
 @query(
     "src_fixed_width_station",
     """SELECT ID, STATE, NAME, GFLAG, HCFLAG, WMOID,
-  round(LATITUDE, 2) AS LATITUDE, round(LONGITUDE, 2) AS LONGITUDE FROM fx_station""",
+  round(LATITUDE, 2) AS LATITUDE, round(LONGITUDE, 2) AS LONGITUDE, ELEVATION FROM fx_station""",
 )
 def src_fixed_width_station(spark, d):
     st = _fixed_width_roundtrip(spark, fx.fx_station(spark, d), STATION_LAYOUT, "stations-txt")
@@ -142,16 +142,18 @@ def src_fixed_width_station(spark, d):
         "ID", "STATE", "NAME", "GFLAG", "HCFLAG", "WMOID",
         F.round(F.col("LATITUDE").cast("double"), 2).alias("LATITUDE"),
         F.round(F.col("LONGITUDE").cast("double"), 2).alias("LONGITUDE"),
+        F.col("ELEVATION").cast("double").alias("ELEVATION"),
     )
 
 
 @query(
     "src_fixed_width_inventory",
-    "SELECT ID, substr(ELEMENT, 1, 4) AS ELEMENT, FIRSTYEAR, LASTYEAR FROM fx_inventory",
+    "SELECT ID, round(LAT, 2) AS LAT, round(LONG, 2) AS LONG, ELEMENT, FIRSTYEAR, LASTYEAR FROM fx_inventory",
 )
 def src_fixed_width_inventory(spark, d):
     inv = _fixed_width_roundtrip(spark, fx.fx_inventory(spark, d), INVENTORY_LAYOUT, "inventory-txt")
-    return inv.select("ID", "ELEMENT", "FIRSTYEAR", "LASTYEAR")
+    place = [F.round(F.col(c).cast("double"), 2).alias(c) for c in ("LAT", "LONG")]
+    return inv.select("ID", *place, "ELEMENT", "FIRSTYEAR", "LASTYEAR")
 
 
 @query("src_fixed_width_lookup", "SELECT CODE, COUNTRY_NAME FROM fx_country")
@@ -159,9 +161,25 @@ def src_fixed_width_lookup(spark, d):
     return _fixed_width_roundtrip(spark, fx.fx_country(spark, d), COUNTRY_LAYOUT, "countries-txt")
 
 
-@query("src_file_inventory")  # rows-only: file names and sizes depend on the writer
+@query("src_fixed_width_state", "SELECT CODE, STATE_NAME FROM fx_state")
+def src_fixed_width_state(spark, d):
+    return _fixed_width_roundtrip(spark, fx.fx_state(spark, d), STATE_LAYOUT, "states-txt")
+
+
+@query(
+    "src_file_inventory",
+    # file names and sizes depend on the writer; files and rows per year, and their totals, do not
+    """SELECT CAST(year(DATE) AS INTEGER) AS YEAR, CAST(1 AS BIGINT) AS files, count(*) AS rows, true AS sized FROM fx_obs_l GROUP BY 1
+UNION ALL SELECT NULL, count(DISTINCT year(DATE)), count(*), true FROM fx_obs_l""",
+)
 def src_file_inventory(spark, d):
-    return file_inventory(spark, _archive_by_year(spark, d))
+    files = file_inventory(spark, _archive_by_year(spark, d), count_rows="csv")
+    files = files.withColumn("YEAR", F.regexp_extract("file_path", "YEAR=([0-9]+)", 1).cast("int"))
+    per_year = files.groupBy("YEAR").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("rows"), F.bool_and(F.col("file_bytes") > 0).alias("sized")
+    )
+    totals = inventory_totals(files).select(F.lit(None).cast("int").alias("YEAR"), "files", "rows", (F.col("bytes") > 0).alias("sized"))
+    return per_year.unionByName(totals)
 
 
 @query(
@@ -186,27 +204,6 @@ def _enriched(spark, d) -> DataFrame:
     )
 
 
-def _csv_ready(df: DataFrame) -> DataFrame:
-    """CSV holds no arrays: render array columns as sorted text."""
-    return df.select(
-        *[
-            array_text(f.name).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
-
-
-@query(
-    "sink_csv_gzip_roundtrip",
-    """SELECT s.ID AS STATION_ID, c.COUNTRY_NAME, st.STATE_NAME
-FROM fx_station s LEFT JOIN fx_country c ON substr(s.ID, 1, 2) = c.CODE LEFT JOIN fx_state st ON s.STATE = st.CODE""",
-)
-def sink_csv_gzip_roundtrip(spark, d):
-    path = write_csv(_csv_ready(_enriched(spark, d)), output_path(spark, "enriched-csv-gz"), compression="gzip")
-    back = spark.read.option("header", "true").csv(path)
-    return back.select("STATION_ID", "COUNTRY_NAME", "STATE_NAME")
-
-
 def _stations_per_country(spark, d) -> DataFrame:
     st = stn.with_country_code(fx.fx_station(spark, d))
     return stn.stations_per_area(fx.fx_country(spark, d), st, "COUNTRY_CODE", "COUNTRY_NAME")
@@ -229,7 +226,7 @@ def sink_csv_roundtrip(spark, d):
 )
 def sink_sorted(spark, d):
     tt = fx.fx_obs(spark, d).filter(F.col("ELEMENT").isin("TMIN", "TMAX"))
-    path = write_sorted(tt, output_path(spark, "sorted-csv"), ["ID", "DATE"])
+    path = write_sorted(tt, output_path(spark, "sorted-csv"), ["ID", "DATE", "ELEMENT"])
     back = spark.read.option("header", "true").schema("ID string, DATE date, ELEMENT string, VALUE double").csv(path)
     return back.select("ID", "DATE", "ELEMENT", r6("VALUE").alias("VALUE"))
 
@@ -255,14 +252,13 @@ def sink_single_file(spark, d):
 
 @query(
     "sink_reconcile",
-    # three part files (explicit repartition(3), kept by AQE), one header each
-    """SELECT count(*) + 3 AS lines, CAST(3 AS BIGINT) AS headers, count(*) AS data_rows,
-  count(*) AS source_rows, true AS ok FROM fx_country""",
+    # three part files (explicit repartition(3), kept by AQE)
+    "SELECT CAST(3 AS BIGINT) AS files, count(*) AS data_rows, count(*) AS source_rows, true AS ok FROM fx_country",
 )
 def sink_reconcile(spark, d):
-    c = fx.fx_country(spark, d)
-    path = write_csv(c.repartition(3), output_path(spark, "country-3-parts"))
-    return reconcile_csv(spark, path, c)
+    path = output_path(spark, "country-3-parts")
+    rows = write_counted(fx.fx_country(spark, d).repartition(3), path)
+    return reconcile_csv(spark, path, rows)
 
 
 # ========================================================== projections
@@ -416,7 +412,22 @@ SELECT a.ID, b.ID AS ID_1, round({hav_sql('a.LATITUDE', 'a.LONGITUDE', 'b.LATITU
 FROM sub a JOIN sub b ON a.ID <> b.ID""",
 )
 def join_cross_self(spark, d):
-    p = pr.ordered_pairs(_subset(spark, d), SUBSET_SIZE)
+    p = pr.ordered_pairs(_subset(spark, d))
+    return p.select("ID", "ID_1", r6("distance_km").alias("distance_km"))
+
+
+@query(
+    "join_cross_subsets",
+    f"""WITH west AS (SELECT * FROM fx_station WHERE LONGITUDE < 25 ORDER BY ID LIMIT {SUBSET_SIZE}),
+east AS (SELECT * FROM fx_station WHERE LONGITUDE > 30 ORDER BY ID LIMIT {SUBSET_SIZE})
+SELECT a.ID, b.ID AS ID_1, round({hav_sql('a.LATITUDE', 'a.LONGITUDE', 'b.LATITUDE', 'b.LONGITUDE')}, 6) AS distance_km
+FROM west a JOIN east b ON a.ID <> b.ID""",
+)
+def join_cross_subsets(spark, d):
+    st = fx.fx_station(spark, d)
+    west = st.filter(F.col("LONGITUDE") < 25).orderBy("ID").limit(SUBSET_SIZE)
+    east = st.filter(F.col("LONGITUDE") > 30).orderBy("ID").limit(SUBSET_SIZE)
+    p = pr.two_set_pairs(west, east)
     return p.select("ID", "ID_1", r6("distance_km").alias("distance_km"))
 
 
@@ -544,9 +555,7 @@ SQL_PROFILE = f"""SELECT ID, min(FIRSTYEAR) AS Firstyear, max(LASTYEAR) AS Lasty
   FROM fx_inventory GROUP BY ID"""
 
 
-@query(
-    "enrich_stations",
-    f"""WITH prof AS ({SQL_PROFILE})
+SQL_ENRICHED = f"""WITH prof AS ({SQL_PROFILE})
 SELECT s.ID AS STATION_ID, s.STATE, substr(s.ID, 1, 2) AS COUNTRY_CODE,
   round(s.LATITUDE, 6) AS LATITUDE, round(s.LONGITUDE, 6) AS LONGITUDE, round(s.ELEVATION, 6) AS ELEVATION,
   s.NAME, s.GFLAG, s.HCFLAG, s.WMOID, c.COUNTRY_NAME, st.STATE_NAME,
@@ -554,10 +563,11 @@ SELECT s.ID AS STATION_ID, s.STATE, substr(s.ID, 1, 2) AS COUNTRY_CODE,
 FROM fx_station s
 LEFT JOIN fx_country c ON substr(s.ID, 1, 2) = c.CODE
 LEFT JOIN fx_state st ON s.STATE = st.CODE
-LEFT JOIN prof p ON s.ID = p.ID""",
-)
-def enrich_stations(spark, d):
-    e = _enriched(spark, d)
+LEFT JOIN prof p ON s.ID = p.ID"""
+
+
+def _enriched_text(e: DataFrame) -> DataFrame:
+    """The enriched table with its list as text and its floats rounded."""
     return e.select(
         *[
             r6(c).alias(c) if c in ("LATITUDE", "LONGITUDE", "ELEVATION")
@@ -568,6 +578,19 @@ def enrich_stations(spark, d):
     )
 
 
+@query("enrich_stations", SQL_ENRICHED)
+def enrich_stations(spark, d):
+    return _enriched_text(_enriched(spark, d))
+
+
+@query("sink_csv_gzip_roundtrip", SQL_ENRICHED)
+def sink_csv_gzip_roundtrip(spark, d):
+    """All 18 columns through gzip CSV: blank and null texts, lists, floats and counts."""
+    ready = _enriched_text(_enriched(spark, d))
+    path = write_csv(ready, output_path(spark, "enriched-csv-gz"), compression="gzip", null_text="\\N")
+    return spark.read.option("header", "true").option("nullValue", "\\N").schema(ready.schema).csv(path)
+
+
 @query("stations_per_country", SQL_PER_COUNTRY)
 def stations_per_country(spark, d):
     return _stations_per_country(spark, d)
@@ -633,14 +656,19 @@ def set_distinct(spark, d):
 SQL_PER_YEAR = "SELECT CAST(year(DATE) AS INTEGER) AS YEAR, count(*) AS observation_count FROM fx_obs_l GROUP BY 1"
 
 
-@query("stream_ingest_daily", SQL_PER_YEAR)
+@query(
+    "stream_ingest_daily",
+    """SELECT substr(ID, 1, 2) AS COUNTRY_CODE, CAST(year(DATE) AS INTEGER) AS YEAR, OBS_MINUTE, SFLAG, count(*) AS observation_count
+FROM fx_obs_time GROUP BY ALL""",
+)
 def stream_ingest_daily(spark, d):
-    """Archive files -> streaming ingest -> lake -> observations per year."""
+    """Archive files -> streaming ingest -> lake -> observations per derived key."""
     src = output_path(spark, "stream-src")
-    write_daily_archive(fx.fx_obs_l(spark, d), src, by_year=False)
+    write_daily_archive(fx.fx_obs_time(spark, d), src, by_year=False)
     lake = output_path(spark, "stream-lake")
     ingest_daily_stream(spark, src, lake, output_path(spark, "stream-ckpt"))
-    return ob.observations_per_year(read_observation_lake(spark, lake))
+    obs = read_observation_lake(spark, lake)
+    return obs.groupBy("COUNTRY_CODE", "YEAR", "OBS_MINUTE", "SFLAG").agg(F.count(F.lit(1)).alias("observation_count"))
 
 
 @query("obs_per_year", SQL_PER_YEAR)
@@ -720,7 +748,9 @@ FROM ({SQL_RAINFALL_INNER}) r LEFT JOIN fx_country c ON r.COUNTRY_CODE = c.CODE
 
 @query("rainfall_country_one_year", SQL_ONE_YEAR)
 def rainfall_country_one_year(spark, d):
-    obs = fx.fx_obs_l(spark, d).withColumn("YEAR", year_int("DATE")).filter(F.col("YEAR") == ONE_YEAR)
+    # a range of dates, not a year computed per row: sources can push it down
+    day = F.col("DATE")
+    obs = fx.fx_obs_l(spark, d).filter(day.between(F.make_date(F.lit(ONE_YEAR), F.lit(1), F.lit(1)), F.make_date(F.lit(ONE_YEAR), F.lit(12), F.lit(31))))
     r = ob.country_year_average(obs, fx.fx_country(spark, d), "PRCP")
     return r.select("COUNTRY_CODE", "COUNTRY_NAME", r6("AVERAGE").alias("AVERAGE"))
 
@@ -758,6 +788,17 @@ def geo_country_pairs(spark, d):
     return p.select("ID", "ID_1", r6("distance_km").alias("distance_km"))
 
 
+@query(
+    "geo_all_country_pairs",
+    f"""SELECT substr(a.ID, 1, 2) AS COUNTRY_CODE, count(*) AS pairs,
+  round(min({hav_sql('a.LATITUDE', 'a.LONGITUDE', 'b.LATITUDE', 'b.LONGITUDE')}), 6) AS nearest_km
+FROM fx_station a JOIN fx_station b ON substr(a.ID, 1, 2) = substr(b.ID, 1, 2) AND a.ID < b.ID GROUP BY 1""",
+)
+def geo_all_country_pairs(spark, d):
+    p = pr.country_pairs(stn.with_country_code(fx.fx_station(spark, d)))
+    return p.groupBy("COUNTRY_CODE").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.min("distance_km"), 6).alias("nearest_km"))
+
+
 @query(
     "geo_closest_pair",
     f"SELECT ID, ID_1, round(d, 6) AS distance_km FROM ({SQL_PAIRS}) p ORDER BY d, ID, ID_1 LIMIT 1",

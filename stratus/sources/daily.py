@@ -63,11 +63,13 @@ def format_daily_csv_columns(df: DataFrame) -> DataFrame:
 
 def write_daily_archive(obs: DataFrame, path: str, by_year: bool = True) -> str:
     """Write observations in the archive format: gzip CSV, no header,
-    ``yyyyMMdd`` dates; one directory per YEAR when ``by_year``."""
+    ``yyyyMMdd`` dates; one directory per YEAR when ``by_year`` (rows are
+    dealt by year first, so a year's files grow with its size, not with
+    the number of tasks)."""
     text = format_daily_csv_columns(obs)
     w = text
     if by_year:
-        w = text.withColumn("YEAR", F.substring("DATE", 1, 4).cast("int"))
+        w = text.withColumn("YEAR", F.substring("DATE", 1, 4).cast("int")).hint("rebalance", "YEAR")
     writer = w.write.mode("overwrite").option("header", "false").option("compression", "gzip")
     if by_year:
         writer = writer.partitionBy("YEAR")

@@ -29,12 +29,20 @@ def read_fixed_width(spark: SparkSession, path: str, layout: tuple[Field, ...])
     return parse_fixed_width(spark.read.text(path), layout)
 
 
+def _rendered(df: DataFrame, f: Field):
+    """Text of one field before padding, null where there is no value."""
+    src = F.col(f.name)
+    return F.when(src.isNotNull(), F.format_string(f.fmt, src)) if f.fmt else src.cast("string")
+
+
 def render_fixed_width(df: DataFrame, layout: tuple[Field, ...]) -> DataFrame:
     """Inverse of ``parse_fixed_width``: one ``value`` line per row.
 
     Numbers are printed with the field's printf pattern and right-aligned,
-    text is left-aligned; every field is padded or cut to its width and
-    placed at its start column.  Missing columns render as blanks.
+    text is left-aligned; every field is padded to its width and placed at
+    its start column.  Missing columns and nulls render as blanks.  A value
+    that does not fit its field raises: nothing is cut
+    (``render_overflows`` counts such values beforehand).
     """
     parts = []
     pos = 1
@@ -42,15 +50,9 @@ def render_fixed_width(df: DataFrame, layout: tuple[Field, ...]) -> DataFrame:
         if f.start > pos:
             parts.append(F.lit(" " * (f.start - pos)))
         if f.name in df.columns:
-            src = F.col(f.name)
-            if f.fmt:
-                # a number that does not fit its field is written blank
-                # (read back as null), never cut into a different number
-                txt = F.when(src.isNotNull(), F.format_string(f.fmt, src))
-                txt = F.when(F.length(txt) <= f.length, txt)
-            else:
-                txt = src.cast("string")  # text is cut to its field width
-            txt = F.coalesce(txt, F.lit(""))
+            txt = _rendered(df, f)
+            told = F.concat(F.lit(f"{f.name} does not fit {f.length} characters: "), txt)
+            txt = F.when(F.length(txt) > f.length, F.raise_error(told).cast("string")).otherwise(F.coalesce(txt, F.lit("")))
             txt = F.lpad(txt, f.length, " ") if f.align == "right" else F.rpad(txt, f.length, " ")
         else:
             txt = F.lit(" " * f.length)
@@ -59,6 +61,12 @@ def render_fixed_width(df: DataFrame, layout: tuple[Field, ...]) -> DataFrame:
     return df.select(F.concat(*parts).alias("value"))
 
 
+def render_overflows(df: DataFrame, layout: tuple[Field, ...]) -> DataFrame:
+    """One row: how many values per field would not fit (``<FIELD>_overflows``)."""
+    present = [f for f in layout if f.name in df.columns]
+    return df.agg(*[F.count_if(F.length(_rendered(df, f)) > f.length).alias(f"{f.name}_overflows") for f in present])
+
+
 def fixed_width_rejects(text: DataFrame, layout: tuple[Field, ...], line_col: str = "value") -> DataFrame:
     """Rows whose typed fields hold text that does not parse, per field.
 

@@ -1,20 +1,23 @@
 """Incremental, restartable conversion of daily CSV files into the lake.
 
 New yearly / daily files dropped into the archive folder are picked up
-by a file-stream source and appended to the YEAR-partitioned Parquet
-lake.  The checkpoint (in the shared folder) records which files were
-committed, so a restarted or re-run job - or one that lost executors
-mid-way - neither skips nor duplicates a file (exactly-once file sink).
-``availableNow`` processes everything present, in bounded micro-batches,
-then stops: the same code serves a nightly batch and a live stream.
+by a file-stream source; each micro-batch is written by the lake's own
+writer (same schema, clustering and file sizes) as a batch of its own.
+The checkpoint (in the shared folder) records which files were read.  A
+batch that is run again after a failure replaces its own partitions, so
+no file is skipped or doubled.  ``availableNow`` processes everything
+present, in bounded micro-batches, then stops: the same code serves a
+nightly batch and a live stream.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 
 from stratus.layouts import DAILY_DATE_FORMAT, DAILY_SCHEMA
-from stratus.sources.lake import prepare_observations
+from stratus.sources.lake import write_observation_lake
 
 
 def ingest_daily_stream(
@@ -25,7 +28,11 @@ def ingest_daily_stream(
     max_files_per_trigger: int = 64,
     wait: bool = True,
 ):
-    """Stream ``source_dir`` (gzip CSV, archive format) into ``lake_dir``."""
+    """Stream ``source_dir`` (gzip CSV, archive format) into ``lake_dir``.
+
+    Batches are named after the checkpoint folder, so streams with
+    checkpoints of their own can feed one lake.
+    """
     stream = (
         spark.readStream.schema(DAILY_SCHEMA)
         .option("header", "false")
@@ -33,13 +40,14 @@ def ingest_daily_stream(
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(source_dir)
     )
+    name = hashlib.sha256(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        write_observation_lake(rows, lake_dir, batch=f"{name}-{batch_id}")
+
     query = (
-        prepare_observations(stream)
-        .writeStream.format("parquet")
-        .option("path", lake_dir)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint_dir)
-        .partitionBy("YEAR")
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

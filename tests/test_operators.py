@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,7 +121,7 @@ def test_country_pairs_blocked_matches_all_pairs(spark, rows_per_block):
 
 def test_ordered_pairs_count(spark):
     df = spark.createDataFrame(_random_points(10, 3), "ID string, COUNTRY_CODE string, LATITUDE double, LONGITUDE double")
-    got = pr.ordered_pairs(df, 10, rows_per_block=2).collect()
+    got = pr.ordered_pairs(df, rows_per_block=2).collect()
     assert len(got) == 90 and len({(r.ID, r.ID_1) for r in got}) == 90
 
 
@@ -196,22 +197,79 @@ def test_closest_pair_many_coincident_stations(spark):
     assert (r.ID, r.ID_1, r.distance_km) == ("CC000000000", "CC000000003", 0.0)
 
 
-def test_lookup_join_broadcast_only_behind_size_check(spark):
-    from stratus.operators.joins import has_at_most, lookup_join
+def test_lookup_key_must_be_unique(spark):
+    from stratus.operators.joins import lookup_join
+
+    fact = spark.range(100).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    dim = spark.range(10).select(F.col("id").alias("k"), F.format_string("n%d", "id").alias("name"))
+    assert lookup_join(fact, dim, "k").filter(F.col("name") == F.format_string("n%d", "k")).count() == 100
+    with pytest.raises(Exception, match="k is not unique: 3"):
+        lookup_join(fact, dim.union(dim.filter("k = 3")), "k").collect()
+
+
+def test_lookup_join_shuffles_beyond_the_broadcast_bound(spark):
+    from stratus.operators.joins import lookup_join
 
     fact = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
     dim = spark.range(10).select(F.col("id").alias("k"), F.format_string("n%d", "id").alias("name"))
-    assert has_at_most(dim, 10) and not has_at_most(dim, 9)
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")  # engine-side broadcasting off: only the hint can broadcast
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
     try:
-        small = lookup_join(fact, dim, "k", "left", max_broadcast_rows=10)
-        large = lookup_join(fact, dim, "k", "left", max_broadcast_rows=5)
-        plan_small = small._jdf.queryExecution().executedPlan().toString()
-        plan_large = large._jdf.queryExecution().executedPlan().toString()
-        assert small.count() == 1000 and large.count() == 1000
+        df = lookup_join(fact, dim, "k")
+        assert df.count() == 1000 and "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set(key, old)
-    assert "BroadcastHashJoin" in plan_small
-    assert "BroadcastHashJoin" not in plan_large and "SortMergeJoin" in plan_large
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_country_pairs_are_spread_over_tasks(spark):
+    """One country holds nearly all stations; broadcasts are at their default."""
+    n = 3000
+    pts = spark.range(n).select(
+        F.format_string("HT%09d", F.col("id")).alias("ID"), F.lit("HT").alias("COUNTRY_CODE"),
+        ((F.col("id") * 7919 % 18000) / 100 - 90).alias("LATITUDE"), ((F.col("id") * 104729 % 36000) / 100 - 180).alias("LONGITUDE"),
+    )
+    pairs = pr.country_pairs(pts.coalesce(1), rows_per_block=250)
+    per_task = [r["n"] for r in pairs.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    total = n * (n - 1) // 2
+    assert sum(per_task) == total
+    assert len(per_task) >= 6 and max(per_task) < 0.4 * total
+
+
+@pytest.mark.parametrize("place", ["packed", "pole"])
+def test_closest_pair_of_packed_stations_is_no_slower(spark, place):
+    """20,000 stations inside a metre, or on a pole, against 20,000 spread ones."""
+    n = 20_000
+    a, b = (F.col("id") * 7919 % n) / n, (F.col("id") * 104729 % n) / n
+    where = {
+        "spread": (a * 179 - 89.5, b * 359 - 179.5),
+        "packed": (a * 1e-5 + 10, b * 1e-5 + 20),
+        "pole": (F.lit(90.0), b * 359 - 179.5),
+    }
+
+    def run(kind):
+        lat, lon = where[kind]
+        pts = spark.range(n).select(
+            F.format_string("XX%09d", "id").alias("ID"), F.lit("XX").alias("COUNTRY_CODE"), lat.alias("LATITUDE"), lon.alias("LONGITUDE")
+        )
+        t = time.perf_counter()
+        r = pr.closest_pair(pts).first()
+        return time.perf_counter() - t, r
+
+    run("spread")
+    spread, _ = run("spread")
+    took, r = run(place)
+    assert took < 3 * spread + 3
+    if place == "pole":
+        assert (r.ID, r.ID_1) == ("XX000000000", "XX000000001") and r.distance_km < 1e-9
+
+
+def test_two_set_pairs(spark):
+    pts = _random_points(30, 3)
+    df = spark.createDataFrame(pts, "ID string, COUNTRY_CODE string, LATITUDE double, LONGITUDE double")
+    a, b = df.orderBy("ID").limit(12), df.orderBy(F.desc("ID")).limit(20)
+    ids = sorted(p[0] for p in pts)
+    got = [(r.ID, r.ID_1) for r in pr.two_set_pairs(a, b, rows_per_block=4).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(x, y) for x in ids[:12] for y in ids[-20:] if x != y}

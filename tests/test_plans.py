@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from stratus.plans import queries as base
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
@@ -14,7 +15,7 @@ def plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(base.QUERIES))
 def test_no_cartesian_or_python(spark, key):
     text = plan_text(E.queries()[key](spark, SF))
     bad = [f for f in FORBIDDEN if f in text]
@@ -68,3 +69,26 @@ def test_element_counts_partial_before_shuffle(spark):
     shuffle = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(ELEMENT" in l)
     partial = next(i for i, l in enumerate(lines) if "partial_count" in l)
     assert shuffle < partial
+
+
+def shuffles(plan: str) -> list[str]:
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+
+
+@pytest.mark.parametrize("key", ["station_element_count", "agg_having"])
+def test_distinct_elements_take_one_shuffle_on_the_station(spark, key):
+    plan = final_plan(E.queries()[key](spark, SF))
+    assert "count(distinct" not in plan
+    assert sum("hashpartitioning(ID" in line for line in shuffles(plan)) <= 1
+
+
+def test_count_check_aggregates_before_the_join(spark):
+    lines = final_plan(E.queries()["join_left_count_check"](spark, SF)).splitlines()
+    join = next(i for i, line in enumerate(lines) if "LeftOuter" in line)
+    assert any("partial_count(1)" in line for line in lines[join:])
+
+
+def test_one_year_is_a_range_the_scan_can_take(spark):
+    text = E.queries()["rainfall_country_one_year"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in text.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
+    assert pushed and "GreaterThanOrEqual(l_shipdate" in pushed[0] and "LessThan" in pushed[0]

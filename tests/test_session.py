@@ -1,6 +1,8 @@
 """Where written tables go: the shared folder named by spark.checkpoint.dir."""
 
-from stratus.session import output_path, shared_dir
+import pytest
+
+from stratus.session import is_local, output_path, shared_dir
 
 
 def test_shared_dir_and_output_paths(spark):
@@ -13,3 +15,29 @@ def test_shared_dir_and_output_paths(spark):
     assert sc.getCheckpointDir()  # checkpoint() has somewhere to write
     a, b = output_path(spark, "x"), output_path(spark, "x")
     assert a != b and a.startswith(d + "/stratus-out/x-") and b.startswith(d + "/stratus-out/x-")
+
+
+def test_masters_that_need_a_shared_folder():
+    assert is_local("local[8]") and is_local("local") and is_local("local[*]")
+    assert not any(map(is_local, ("local-cluster[2,1,1024]", "yarn", "spark://host:7077", "k8s://host")))
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+        getConf = staticmethod(Conf)
+        getCheckpointDir = staticmethod(lambda: None)
+
+        def setCheckpointDir(self, path):
+            raise AssertionError(path)
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

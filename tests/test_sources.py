@@ -3,12 +3,14 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratus.layouts import COUNTRY_LAYOUT, INVENTORY_LAYOUT, STATION_LAYOUT
-from stratus.sources.daily import read_daily_csv, with_obs_minute
-from stratus.sources.fixed_width import fixed_width_rejects, parse_fixed_width, render_fixed_width
-from stratus.sources.sinks import reconcile_csv, write_csv, write_single_file
+from stratus.sources.daily import read_daily_csv, with_obs_minute, write_daily_archive
+from stratus.sources.files import file_inventory, inventory_totals
+from stratus.sources.fixed_width import fixed_width_rejects, parse_fixed_width, render_fixed_width, render_overflows
+from stratus.sources.sinks import reconcile_csv, write_counted, write_csv, write_single_file
 
 
 def line(*fields):
@@ -85,12 +87,18 @@ def test_reconcile_counts_headers(spark):
     d = tempfile.mkdtemp(prefix="stratus-test-")
     df = spark.range(100).select(F.col("id").cast("string").alias("x"))
     path = write_csv(df.repartition(4), os.path.join(d, "out"))
-    r = reconcile_csv(spark, path, df).first()
-    assert r.headers == 4 and r.lines == 104 and r.data_rows == 100 and r.source_rows == 100 and r.ok
+    r = reconcile_csv(spark, path, 100).first()
+    assert r.files == 4 and r.data_rows == 100 and r.source_rows == 100 and r.ok
+    assert not reconcile_csv(spark, path, 99).first().ok
     one = write_single_file(df, os.path.join(d, "one"))
     assert len([f for f in os.listdir(one) if f.startswith("part-")]) == 1
     r1 = reconcile_csv(spark, one, 100).first()
-    assert r1.lines == 101 and r1.ok
+    assert r1.files == 1 and r1.ok
+    # a line break inside a quoted field is not a row; the write counts its own rows
+    odd = spark.createDataFrame([("a\nb", 1), ("c", 2)], "t string, n int")
+    n = write_counted(odd, os.path.join(d, "odd"))
+    assert n == 2 and reconcile_csv(spark, os.path.join(d, "odd"), n).first().ok
+    assert write_counted(df, os.path.join(d, "s"), keys=["x"]) == 100 == write_counted(df, os.path.join(d, "t"), single=True)
 
 
 def test_write_sorted_is_globally_ordered(spark):
@@ -117,16 +125,31 @@ def test_write_sorted_is_globally_ordered(spark):
     assert len(rows) == 5000 and rows == sorted(rows)
 
 
-def test_render_overflow_and_nulls(spark):
-    df = spark.createDataFrame(
-        [("ABCDEFGHIJKLMNOP", 12345.678, None, 1234567.0, "X" * 40)],
-        "ID string, LATITUDE double, LONGITUDE double, ELEVATION double, NAME string",
-    )
-    back = parse_fixed_width(render_fixed_width(df, STATION_LAYOUT), STATION_LAYOUT).first()
-    assert back.ID == "ABCDEFGHIJK"  # text is cut to the field width
-    assert back.LATITUDE is None  # 12345.6780 does not fit 8 characters
-    assert back.LONGITUDE is None and back.ELEVATION is None
-    assert back.NAME == "X" * 30 and back.STATE == ""
+@pytest.mark.parametrize(
+    "row, field",
+    [
+        (("ABCDEFGHIJKLMNOP", None, None, None, None), "ID"),
+        (("A", 12345.678, None, None, None), "LATITUDE"),
+        (("A", None, None, 1234567.0, None), "ELEVATION"),
+        (("A", None, None, None, "X" * 31), "NAME"),
+    ],
+)
+def test_render_never_cuts(spark, row, field):
+    kind = "ID string, LATITUDE double, LONGITUDE double, ELEVATION double, NAME string"
+    fits = ("A", 1.5, None, 10.0, "X" * 30)
+    df = spark.createDataFrame([row, fits], kind)
+    over = render_overflows(df, STATION_LAYOUT).first().asDict()
+    assert over.pop(f"{field}_overflows") == 1 and not any(over.values())
+    with pytest.raises(Exception, match=f"{field} does not fit"):
+        render_fixed_width(df, STATION_LAYOUT).collect()
+    back = parse_fixed_width(render_fixed_width(df.filter("ID = 'A' and LATITUDE = 1.5"), STATION_LAYOUT), STATION_LAYOUT).first()
+    assert (back.LATITUDE, back.LONGITUDE, back.ELEVATION, back.NAME, back.STATE) == (1.5, None, 10.0, "X" * 30, "")
+
+
+def test_elements_that_share_a_prefix_stay_apart(spark):
+    df = spark.createDataFrame([("S", "PRCPX"), ("S", "PRCPY")], "ID string, ELEMENT string")
+    with pytest.raises(Exception, match="ELEMENT does not fit"):
+        render_fixed_width(df, INVENTORY_LAYOUT).collect()
 
 
 def test_lake_layout_row_groups_and_clustering(spark):
@@ -142,7 +165,7 @@ def test_lake_layout_row_groups_and_clustering(spark):
     path = write_observation_lake(obs, os.path.join(d, "lake"), row_group_bytes=64 * 1024)
     years = sorted(os.listdir(path))
     assert [y for y in years if y.startswith("YEAR=")] == [f"YEAR={y}" for y in range(1995, 2002)]
-    files = glob.glob(os.path.join(path, "YEAR=*", "*.parquet"))
+    files = glob.glob(os.path.join(path, "YEAR=*", "BATCH=*", "*.parquet"))
     groups = [pq.ParquetFile(f).metadata.num_row_groups for f in files]
     assert max(groups) > 1  # the row-group size option reaches the writer
     # inside a file rows are clustered by country, then element (then id,
@@ -183,12 +206,35 @@ def test_daily_rejects(spark):
     assert read_daily_csv(spark, p).count() == 6
 
 
+def test_file_inventory_lists_blank_files_and_documents_empty_ones(spark):
+    d = tempfile.mkdtemp(prefix="stratus-test-")
+    for name, text in (("a.csv", "x,1\ny,2\n"), ("blank.csv", "\n\n"), ("zero.csv", "")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    files = file_inventory(spark, d, count_rows="csv")
+    got = {os.path.basename(r.file_path): (r.file_bytes, r.row_count) for r in files.collect()}
+    assert got == {"a.csv": (8, 2), "blank.csv": (2, 0)}  # binaryFile leaves out files of zero bytes
+    t = inventory_totals(files).first()
+    assert (t["files"], t["bytes"], t["rows"]) == (2, 10, 2)
+    assert file_inventory(spark, d).columns == ["file_path", "file_bytes", "modified"]
+
+
+def test_yearly_archive_files_grow_with_years_not_tasks(spark):
+    d = tempfile.mkdtemp(prefix="stratus-test-")
+    obs = spark.range(4000).select(
+        F.format_string("AB%09d", "id").alias("ID"),
+        F.make_date((F.lit(2000) + F.col("id") % 7).cast("int"), F.lit(1), F.lit(1)).alias("DATE"),
+        F.lit("PRCP").alias("ELEMENT"), F.col("id").cast("float").alias("VALUE"),
+    )
+    write_daily_archive(obs.repartition(20), d, by_year=True)
+    assert file_inventory(spark, d).count() == 7
+
+
 def test_file_inventory_on_parquet(spark):
-    from stratus.sources.files import file_inventory
 
     d = tempfile.mkdtemp(prefix="stratus-test-")
     spark.range(300).repartition(3).write.parquet(os.path.join(d, "t"))
-    inv = file_inventory(spark, os.path.join(d, "t"), fmt="parquet").collect()
+    inv = file_inventory(spark, os.path.join(d, "t"), count_rows="parquet").collect()
     assert len(inv) == 3 and sum(r.row_count for r in inv) == 300 and all(r.file_bytes > 0 for r in inv)
 
 
@@ -218,7 +264,7 @@ def test_lake_write_splits_a_hot_country(spark):
         path = write_observation_lake(obs, os.path.join(tempfile.mkdtemp(prefix="stratus-hot-"), "lake"))
     finally:
         spark.conf.set(key, old)
-    files = glob.glob(os.path.join(path, "YEAR=2020", "*.parquet"))
+    files = glob.glob(os.path.join(path, "YEAR=2020", "BATCH=*", "*.parquet"))
     hot = [f for f in files if "HT" in pq.read_table(f, columns=["COUNTRY_CODE"]).column(0).to_pylist()]
     rows = [pq.ParquetFile(f).metadata.num_rows for f in hot]
     assert sum(pq.ParquetFile(f).metadata.num_rows for f in files) == n

@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from stratus.sources.daily import write_daily_archive
-from stratus.sources.lake import read_observation_lake
+from stratus.sources.lake import read_observation_lake, write_observation_lake
 from stratus.streaming.ingest import ingest_daily_stream
 
 
@@ -39,7 +39,16 @@ def test_ingest_is_exactly_once(spark):
     lk = read_observation_lake(spark, lake)
     got = {r.YEAR: r["count"] for r in lk.groupBy("YEAR").count().collect()}
     assert got == {2020: 500, 2021: 300}
-    assert set(lk.columns) >= {"ID", "DATE", "ELEMENT", "VALUE", "YEAR", "COUNTRY_CODE"}
+    assert set(lk.columns) >= {"ID", "DATE", "ELEMENT", "VALUE", "YEAR", "COUNTRY_CODE", "OBS_MINUTE"}
+
+
+def test_a_batch_written_again_replaces_itself(spark):
+    """What a restart after a failure does: the same batch id, the same rows."""
+    lake = os.path.join(tempfile.mkdtemp(prefix="stratus-stream-"), "lake")
+    for rows, batch in ((300, "x-0"), (300, "x-0"), (200, "x-1")):
+        write_observation_lake(_obs(spark, 2020, rows).withColumn("OBV_TIME", F.lit("0700")), lake, batch=batch)
+    obs = read_observation_lake(spark, lake)
+    assert obs.count() == 500 and {r.OBS_MINUTE for r in obs.select("OBS_MINUTE").distinct().collect()} == {420}
 
 
 def test_ingest_many_micro_batches(spark):
