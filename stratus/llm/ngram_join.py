@@ -15,12 +15,16 @@ is indexed as well).
 3. Hashes that only one document has prove that no partner shares the
    segment.  A document whose unshared segments are worth its H + 1 units
    has no partner at all and drops out: nearly all unrelated documents do.
+   Of documents with equal sets only the smallest goes on.
 4. The others probe with their cheapest shared segments (by how many
    documents share them) until their units are covered.
-5. Candidates are verified exactly on their texts, first in stars around
-   the smallest document of each shared hash.  Pairs that still lie in
-   different components are then compared, so copies by the thousand cost
-   a line each, not a square, and no link between components is lost.
+5. The members of each hash meet at its smallest document, the center, and
+   are compared there, exactly and by whole texts: first with the center,
+   then with each other where a probed hash is common and they are not yet
+   connected.  Large meetings are cut into blocks, each pair of blocks a
+   task group of bounded size that the center takes part in, so copies by
+   the thousand cost a comparison each and only what no link connects is
+   compared pair by pair.  Links become components last.
 
 No group is collected: a hash that many documents share is counted per
 chunk in the map tasks, and its members travel on by document.
@@ -48,8 +52,10 @@ WIDTH, PERCENT = 5, 80
 _CHUNK, _HOT = 2**20, 32
 # cost of a segment with at most one element, in rows; spare units beyond the need
 _WEAK, _SPARE = 3.5, 0.08
-# another round of stars while the pairs left exceed so many per row
-_LEFT, _ROUNDS = 4, 6
+# documents of a meeting's block
+_BLOCK = 400
+# kinds of rows: of a hash's group, a hot hash's member, and the same for the digests of whole sets
+_GROUPED, _MEMBER, _SET, _COPY = range(4)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -62,19 +68,28 @@ def shingles(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.nda
     words, of, _ = folded_words(texts)
     n = np.bincount(of, minlength=len(texts))
     starts = np.cumsum(n) - n
-    h = np.zeros(len(words), np.uint64)
-    place = np.arange(len(words)) - starts[of]
+    h = np.zeros(max(len(words) - width + 1, 0), np.uint64)
     for k in range(width):
-        there = place + k < n[of]
-        h[there] = h[there] * _STEP + words[np.flatnonzero(there) + k]
-    use = (place + width <= n[of]) | ((place == 0) & (n[of] < width))
-    h = mix64(h + np.minimum(n[of], width).astype(np.uint64))[use]
-    of = of[use]
-    order = np.lexsort((h, of))
-    h, of = h[order], of[order]
+        h = h * _STEP + words[k : k + len(h)]
+    use = np.flatnonzero(np.arange(len(h)) - starts[of[: len(h)]] + width <= n[of[: len(h)]])
+    h, owner = h[use], of[use]
+    few = np.flatnonzero((n > 0) & (n < width))
+    if len(few):
+        whole = np.zeros(len(few), np.uint64)
+        for k in range(width - 1):
+            there = n[few] > k
+            whole[there] = whole[there] * _STEP + words[starts[few][there] + k]
+        at = np.searchsorted(owner, few)
+        h, owner = np.insert(h, at, whole), np.insert(owner, at, few)
+    h = mix64(h + np.minimum(n[owner], width).astype(np.uint64))
+    ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
+    begin = 0
+    for end in ends.tolist():
+        h[begin:end].sort()
+        begin = end
     fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-    return h[fresh], of[fresh]
+    fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    return h[fresh], owner[fresh]
 
 
 def differences(size: np.ndarray | int, percent: int = PERCENT) -> np.ndarray | int:
@@ -152,34 +167,60 @@ def _segments(h: np.ndarray, of: np.ndarray, sizes: np.ndarray, bands: np.ndarra
     )
 
 
-def _chunk(sig: np.ndarray, doc: np.ndarray, meta: np.ndarray) -> pa.RecordBatch:
-    """A chunk's rows with how many of it share the hash.
+def _chunk(sig: np.ndarray, doc: np.ndarray, meta: np.ndarray, sets: tuple[np.ndarray, ...], most: int) -> pa.RecordBatch:
+    """A chunk's rows: sig, doc, meta, n and kind.
 
-    Of a hot hash one row goes on to its group, for all members (count
-    positive); the members' rows carry the count, negative, and stay out of
-    the group.
+    Of a hot hash one row goes on to its group, for all members (n: how
+    many); the members' rows carry n as well and stay out of the group.
+    Whole sets come as (first digest, document, second digest, size); of a
+    set that is hot in the chunk the smallest document goes on, and the
+    others name it in place of the digest.
     """
-    order = np.lexsort((doc, sig))
+    order = np.argsort(sig)
     sig, doc, meta = sig[order], doc[order], meta[order]
-    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
     count = np.diff(np.append(first, len(sig)))
-    hot = count > _HOT
-    n = np.where(np.repeat(hot, count), -np.repeat(count, count), 1)
-    sig, doc, meta, n = (np.concatenate([a, b]) for a, b in ((sig, sig[first[hot]]), (doc, doc[first[hot]]), (meta, np.full(hot.sum(), -1)), (n, count[hot])))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(sig.view(np.int64)), pa.array(doc), pa.array(meta), pa.array(n.astype(np.int32))], ["sig", "doc", "meta", "n"]
+    hot = count > most
+    member = np.repeat(hot, count)
+    n = np.where(member, np.repeat(count, count), 1)
+    digest, owner, second, size = sets
+    order = np.lexsort((owner, second, digest))
+    digest, owner, second, size = (x[order] for x in (digest, owner, second, size))
+    new = np.ones(len(digest), bool)
+    new[1:] = (digest[1:] != digest[:-1]) | (second[1:] != second[:-1])
+    begin = np.flatnonzero(new)
+    held = np.diff(np.append(begin, len(digest)))
+    copy = np.repeat(held > most, held) & ~new
+    named = np.where(copy, np.repeat(owner[begin], held).view(np.uint64), digest)
+    columns = (
+        [sig, sig[first[hot]], named],
+        [doc, doc[first[hot]], owner],
+        [meta, np.full(hot.sum(), -1), second.view(np.int64)],
+        [n, count[hot], size],
+        [np.where(member, _MEMBER, _GROUPED), np.full(hot.sum(), _GROUPED), np.where(copy, _COPY, _SET)],
     )
+    sig, doc, meta, n, kind = map(np.concatenate, columns)
+    arrays = [pa.array(sig.view(np.int64)), pa.array(doc), pa.array(meta), pa.array(n.astype(np.int32)), pa.array(kind.astype(np.int8))]
+    return pa.RecordBatch.from_arrays(arrays, ["sig", "doc", "meta", "n", "kind"])
 
 
-def _emit(width: int, percent: int):
+def _emit(width: int, percent: int, hot: int):
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        sets: list[tuple] = []
         rows = 0
         for b in batches:
             ids = b.column(0).to_numpy()
             for first, some in groups([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()], 2**20):
                 h, of = shingles(some, width)
                 sizes = np.bincount(of, minlength=len(some))
+                here = ids[first : first + len(some)]
+                there = np.flatnonzero(sizes)
+                begin = (np.cumsum(sizes) - sizes)[there]
+                digests = [np.add.reduceat(x, begin) if len(begin) else none[0] for x in (mix64(h), mix64(h ^ _STEP))]
+                sets.append((digests[0], here[there], digests[1], sizes[there]))
                 if not len(h):
                     continue
                 starts = band_starts(int(sizes.max()), percent)
@@ -192,45 +233,84 @@ def _emit(width: int, percent: int):
                     new = np.cumsum(on) - 1
                     use = on[of]
                     sig, doc, meta = _segments(h[use], new[of[use]], sizes[on], bands[on], percent)
-                    held.append((sig, ids[first : first + len(some)][on][doc], meta))
+                    held.append((sig, here[on][doc], meta))
                     rows += len(sig)
                 if rows >= _CHUNK:
-                    yield _chunk(*map(np.concatenate, zip(*held)))
-                    held, rows = [], 0
-        if held:
-            yield _chunk(*map(np.concatenate, zip(*held)))
+                    yield _chunk(*map(np.concatenate, zip(*held)), tuple(map(np.concatenate, zip(*sets))), hot)
+                    held, sets, rows = [], [], 0
+        if sets:
+            yield _chunk(*(map(np.concatenate, zip(*held)) if held else none), tuple(map(np.concatenate, zip(*sets))), hot)
 
     return run
 
 
+def _read(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    """The columns of a partition as arrays (none for an empty one)."""
+    got = list(batches)
+    return [c.to_numpy() for c in pa.Table.from_batches(got).columns] if sum(b.num_rows for b in got) else []
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a partition of hashes -> sig, doc, meta, cost of those that two documents share."""
-    got = pa.Table.from_batches(list(batches), pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("meta", pa.int64()), ("n", pa.int32())]))
-    sig, doc, meta, n = (c.to_numpy() for c in got.columns)
-    inside = n > 0
-    order = np.argsort(sig[inside], kind="stable")
-    s, d, m, k = (x[inside][order] for x in (sig, doc, meta, n))
-    if len(s):
-        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-        total = np.add.reduceat(k.astype(np.int64), first)
-        cost = np.repeat(total, np.diff(np.append(first, len(s))))
-        keep = (cost > 1) & (m >= 0)
-    else:
-        cost, keep = np.zeros(0, np.int64), np.zeros(0, bool)
-    out = [np.concatenate([a[keep], b]) for a, b in ((s, sig[~inside]), (d, doc[~inside]), (m, meta[~inside]), (cost, -n[~inside].astype(np.int64)))]
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["sig", "doc", "meta", "cost"])
+    """A partition of hashes -> sig, doc, meta, cost, kind.
+
+    Grouped rows: those of hashes that two documents share, and how many
+    share them.  Sets: the smallest document of equal sets in place of sig,
+    the size in place of meta.
+    """
+    columns = _read(batches)
+    if not columns:
+        return
+    sig, doc, meta, n, kind = columns
+    n = n.astype(np.int64)
+    at = np.flatnonzero(kind == _GROUPED)
+    at = at[np.argsort(sig[at])]
+    first = np.flatnonzero(np.concatenate([[True], sig[at][1:] != sig[at][:-1]])) if len(at) else at
+    total = np.add.reduceat(n[at], first) if len(at) else at
+    cost = np.repeat(total, np.diff(np.append(first, len(at))))
+    keep = (cost > 1) & (meta[at] >= 0)
+    at, cost = at[keep], cost[keep]
+    member = np.flatnonzero(kind == _MEMBER)
+    whole = np.flatnonzero(kind == _SET)
+    whole = whole[np.lexsort((doc[whole], meta[whole], sig[whole]))]
+    new = np.ones(len(whole), bool)
+    new[1:] = (sig[whole][1:] != sig[whole][:-1]) | (meta[whole][1:] != meta[whole][:-1])
+    smallest = doc[whole][new][np.cumsum(new) - 1] if len(whole) else whole
+    copy = np.flatnonzero(kind == _COPY)
+    zero = np.zeros(len(whole) + len(copy), np.int64)
+    out = (
+        [sig[at], sig[member], smallest, sig[copy]],
+        [doc[at], doc[member], doc[whole], doc[copy]],
+        [meta[at], meta[member], n[whole], n[copy]],
+        [cost, n[member], zero],
+        [np.full(len(at) + len(member), _GROUPED), zero + _SET],
+    )
+    arrays = [pa.array(np.concatenate(x)) for x in out]
+    yield pa.RecordBatch.from_arrays([*arrays[:4], arrays[4].cast(pa.int8())], ["sig", "doc", "meta", "cost", "kind"])
 
 
 def _allocate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shared rows of whole documents -> sig, doc, probe, without documents that cannot have a partner."""
-    schema = pa.schema([(c, pa.int64()) for c in ("sig", "doc", "meta", "cost")])
-    sig, doc, meta, cost = (c.to_numpy() for c in pa.Table.from_batches(list(batches), schema).columns)
-    if not len(sig):
+    """Rows of whole documents -> sig, doc, meta, kind, probe.
+
+    Rows of sets pass.  Grouped rows stay if their document is the smallest
+    of its set and can have a partner; ``probe`` marks the allocated ones.
+    """
+    columns = _read(batches)
+    if not columns:
+        return
+    names = ["sig", "doc", "meta", "kind", "probe"]
+    sig, doc, meta, cost, kind = columns
+    whole = np.flatnonzero(kind == _SET)
+    if len(whole):
+        yield pa.RecordBatch.from_arrays([*(pa.array(x[whole]) for x in (sig, doc, meta, kind)), pa.array(np.zeros(len(whole), bool))], names)
+    copies = doc[whole][sig[whole] != doc[whole]]
+    use = np.flatnonzero((kind == _GROUPED) & ~np.isin(doc, copies))
+    if not len(use):
         return
+    sig, doc, meta, cost = sig[use], doc[use], meta[use], cost[use]
     slack, weight, segment = meta & (2**28 - 1), ((meta >> 28) & 1) + 1, meta >> 29
     # a segment (of a document and band) costs what its shared hashes cost together
     order = np.lexsort((segment, doc))
-    sig, doc, slack, weight, segment, cost = (x[order] for x in (sig, doc, slack, weight, segment, cost))
+    sig, doc, meta, slack, weight, segment, cost = (x[order] for x in (sig, doc, meta, slack, weight, segment, cost))
     first = np.flatnonzero(np.concatenate([[True], (segment[1:] != segment[:-1]) | (doc[1:] != doc[:-1])]))
     rows = np.diff(np.append(first, len(sig)))
     price = np.add.reduceat(cost, first)
@@ -247,18 +327,8 @@ def _allocate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keep, probe = np.empty(len(order), bool), np.empty(len(order), bool)
     keep[order], probe[order] = owed > 0, before < owed
     keep, probe = np.repeat(keep, rows), np.repeat(probe, rows)
-    yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(doc[keep]), pa.array(probe[keep])], ["sig", "doc", "probe"])
-
-
-def _sizes(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = np.zeros(b.num_rows, np.int64)
-            for first, some in groups([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()], 2**20):
-                n[first : first + len(some)] = np.bincount(shingles(some, width)[1], minlength=len(some))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n)], ["doc_id", "n_shingles"])
-
-    return run
+    kinds = pa.array(np.full(int(keep.sum()), _GROUPED, np.int8))
+    yield pa.RecordBatch.from_arrays([*(pa.array(x[keep]) for x in (sig, doc, meta)), kinds, pa.array(probe[keep])], names)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,111 +338,131 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], ["doc", "packed"])
 
 
-def _verify(width: int, percent: int):
-    """a, b, packed_a, packed_b -> a, b of the pairs that link."""
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) or not len(x) or not len(y):
+        return False
+    both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-    def sets(packed: list[bytes]) -> list[np.ndarray]:
-        z = zstandard.ZstdDecompressor()
-        out: list[np.ndarray] = []
-        for _, some in groups([z.decompress(p) for p in packed], 2**20):
-            h, of = shingles(some, width)
-            out += np.split(h, np.cumsum(np.bincount(of, minlength=len(some)))[:-1])
-        return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
-                names = b.column(0).to_pylist()
-                packed = dict(zip(names, b.column(2).to_pylist()))
-                left = dict(zip(packed, sets(list(packed.values()))))
-                right = sets(b.column(3).to_pylist())
-                linked = []
-                for name, y in zip(names, right):
-                    x = left[name]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-                yield b.filter(pa.array(linked, pa.bool_())).select([0, 1])
+def _meet(width: int, percent: int):
+    """One meeting (center, two blocks) -> links a, b that connect what the whole texts connect."""
 
-    return run
+    def run(meeting: pa.Table) -> pa.Table:
+        z = zstandard.ZstdDecompressor()
+        doc, block = meeting.column("doc").to_numpy(), meeting.column("block").to_numpy()
+        h, of = shingles([z.decompress(p) for p in meeting.column("packed").to_pylist()], width)
+        sets = np.split(h, np.cumsum(np.bincount(of, minlength=len(doc)))[:-1])
+        root = np.arange(len(doc))
+        links = []
+
+        def link(i: int, j: int) -> None:
+            links.append((doc[i], doc[j]))
+            root[root == root[j]] = root[i]
+
+        center = int(np.flatnonzero(doc == meeting.column("center")[0].as_py())[0])
+        for i in range(len(doc)):
+            if i != center and similar(sets[center], sets[i], percent):
+                link(center, i)
+        lists = meeting.column("sigs").combine_chunks()
+        row = np.repeat(np.arange(len(doc)), np.asarray(lists.value_lengths()))
+        sig, probe = (lists.flatten().field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        order = np.argsort(sig, kind="stable")
+        sig, row, probe = sig[order], row[order], probe[order]
+        edges = np.append(np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])), len(sig))
+        apart = np.minimum.reduceat(root[row], edges[:-1]) != np.maximum.reduceat(root[row], edges[:-1])
+        common = np.zeros((len(doc), len(doc)), bool)
+        for i, j in zip(edges[:-1][apart], edges[1:][apart]):
+            common[np.ix_(row[i:j][probe[i:j]], row[i:j])] = True
+        size = np.array([len(x) for x in sets])
+        fits = 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
+        # of two blocks only pairs across them are compared here
+        across = block[:, None] != block[None, :] if meeting.column("lo")[0].as_py() != meeting.column("hi")[0].as_py() else True
+        for i, j in np.argwhere(np.triu((common | common.T) & fits & across, 1)):
+            if root[i] != root[j] and similar(sets[i], sets[j], percent):
+                link(i, j)
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
+    return run
 
-class _Join:
-    def __init__(self, docs: DataFrame, width: int, percent: int):
-        self.texts, self.width, self.percent = docs, width, percent
 
-    def links(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets are similar enough, from the whole texts."""
-        n = sizes.select("doc_id", "n_shingles")
-        for side in ("a", "b"):
-            pairs = pairs.join(n.withColumnsRenamed({"doc_id": side, "n_shingles": f"n_{side}"}), side)
-        fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
-        pairs = written(pairs.filter(fits).select("a", "b").distinct(), "ngram-pairs")
-        wanted = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-        texts = written(self.texts.mapInArrow(_pack, "doc long, packed binary").join(wanted, "doc"), "ngram-texts")
-        joined = pairs.join(texts.withColumnsRenamed({"doc": "b", "packed": "packed_b"}), "b")
-        joined = joined.join(texts.withColumnsRenamed({"doc": "a", "packed": "packed_a"}), "a")
-        found = joined.select("a", "b", "packed_a", "packed_b").mapInArrow(_verify(self.width, self.percent), "a long, b long")
-        return written(found.distinct(), "ngram-links")
+def _meetings(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """center, lo, hi, block, doc, sigs, packed: who meets where (``lo`` and ``hi`` are the meeting's blocks)."""
+    centers = rows.groupBy("sig").agg(F.min("doc").alias("center"), F.count(F.lit(1)).alias("n"), F.max("probe").alias("any"))
+    met = rows.join(centers.filter("n > 1 and any").select("sig", "center"), "sig")
+    members = written(
+        met.groupBy("center", "doc").agg(F.collect_list(F.struct("sig", "probe")).alias("sigs")), "ngram-members"
+    )
+    sizes = members.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"))
+    wanted = members.select("doc").distinct()
+    packed = texts.mapInArrow(_pack, "doc long, packed binary").join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
+    whole = members.join(sizes, "center").join(packed, "doc")
+    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    last = F.col("blocks") - 1
+    everywhere = F.flatten(
+        F.transform(F.sequence(F.lit(0), last), lambda i: F.transform(F.sequence(i, last), lambda j: F.struct(i.alias("lo"), j.alias("hi"))))
+    )
+    mine = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.least(i, own).alias("lo"), F.greatest(i, own).alias("hi")))
+    at = F.explode(F.when(F.col("doc") == F.col("center"), everywhere).otherwise(mine)).alias("at")
+    return whole.select("center", "doc", "sigs", "packed", own.alias("block"), at).select(
+        "center", "at.lo", "at.hi", "block", "doc", "sigs", "packed"
+    )
 
 
-def _stars(rows: DataFrame, seed: int) -> DataFrame:
-    """Pairs of each probing row with one member of its hash (another one for every seed)."""
-    center = rows.groupBy("sig").agg(F.min(F.struct(F.lit(0) if not seed else F.xxhash64("doc", F.lit(seed)), "doc"))["doc"].alias("center"))
-    pairs = rows.filter("probe").join(center, "sig").filter("doc <> center")
-    return pairs.select(F.greatest("doc", "center").alias("a"), F.least("doc", "center").alias("b")).distinct()
+def _candidates(texts: DataFrame, width: int, percent: int, hot: int) -> DataFrame:
+    """Written table of sig, doc, meta, kind, probe: sets of all documents, and the rows of those that may have partners."""
+    emitted = texts.mapInArrow(_emit(width, percent, hot), "sig long, doc long, meta long, n int, kind byte")
+    by_group = F.when(F.col("kind").isin(_GROUPED, _SET), F.col("sig")).otherwise(F.xxhash64("doc"))
+    shared = emitted.repartition(by_group).mapInArrow(_shared, "sig long, doc long, meta long, cost long, kind byte")
+    kind = "sig long, doc long, meta long, kind byte, probe boolean"
+    return written(shared.repartition("doc").mapInArrow(_allocate, kind), "ngram-rows")
 
 
-def _open(rows: DataFrame, components: DataFrame) -> DataFrame:
-    """The rows of hashes whose members lie in different components, with the component."""
-    r = rows.join(components.withColumnRenamed("node", "doc"), "doc", "left")
-    r = written(r.withColumn("component", F.coalesce("component", "doc")), "ngram-components")
-    mixed = r.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("probe").alias("p"))
-    return written(r.join(mixed.filter("x <> y and p").select("sig"), "sig"), "ngram-open")
+def _peeled(rows: DataFrame) -> DataFrame:
+    """Allocates again among the documents that are left: without the others, fewer hashes are shared."""
+    cost = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("cost")).filter("cost > 1")
+    again = rows.join(cost, "sig").select("sig", "doc", "meta", "cost", "kind").repartition("doc")
+    kind = "sig long, doc long, meta long, kind byte, probe boolean"
+    return written(again.mapInArrow(_allocate, kind), "ngram-peeled")
 
 
 def similar_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+    hot: int = _HOT,
+    block: int = _BLOCK,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``.
 
     Rows link when 100 * intersection >= percent * union of their sets of
     ``width``-word shingles; component_id is the smallest id reachable by
     links, the row's own id without links.  Null and blank texts have no
-    shingles and no links; a null id has a null component.  Rows that repeat
-    an id count as one document with either text.  Ids are integers; other
-    columns are left out.
+    shingles and no links.  Ids are integers.  Rows that repeat an id are
+    one document: the same n_shingles (the largest), linked by one of their
+    texts.  Rows with a null id have null in the other two columns.  Other
+    columns are left out; an empty table gives an empty result.  ``hot`` and
+    ``block`` say from how many members a chunk's hash, and a meeting, is
+    split; they do not change the result.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sizes = written(source.mapInArrow(_sizes(width), "doc_id long, n_shingles long"), "ngram-sizes")
-    named = source.filter("doc_id is not null and text is not null")
-    emitted = named.mapInArrow(_emit(width, percent), "sig long, doc long, meta long, n int")
-    grouped = emitted.repartition(F.when(F.col("n") > 0, F.col("sig")).otherwise(F.xxhash64("doc")))
-    shared = grouped.mapInArrow(_shared, "sig long, doc long, meta long, cost long")
-    rows = written(shared.repartition("doc").mapInArrow(_allocate, "sig long, doc long, probe boolean"), "ngram-rows")
-
-    join = _Join(named, width, percent)
-    known = sizes.filter("doc_id is not null").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
-    pairs = _stars(rows, 0)
-    links = join.links(pairs, known)
+    texts = source.filter("doc_id is not null and text is not null")
+    rows = _candidates(texts, width, percent, hot)
+    sets = rows.filter(F.col("kind") == _SET).select("doc", F.col("sig").alias("same"), F.col("meta").alias("size"))
+    left = _peeled(rows.filter(F.col("kind") == _GROUPED))
+    met = _meetings(left, texts, block).groupBy("center", "lo", "hi").applyInArrow(_meet(width, percent), "a long, b long")
+    links = written(met.union(sets.filter("doc <> same").select("doc", "same")), "ngram-links")
     components = connected_components(links)
-    for seed in range(1, _ROUNDS + 1):
-        left = _open(rows, components)
-        probes = F.sum(F.col("probe").cast("long"))
-        sums = left.groupBy("sig").agg((probes * F.count(F.lit(1))).alias("pairs"), F.count(F.lit(1)).alias("rows"))
-        pairs_left, rows_left = sums.agg(F.sum("pairs"), F.sum("rows")).first()
-        if not pairs_left:
-            break
-        last = seed == _ROUNDS or pairs_left <= _LEFT * rows_left
-        if last:
-            other = left.select("sig", F.col("doc").alias("other"), F.col("component").alias("of"))
-            pairs = left.filter("probe").join(other, "sig").filter("component <> of")
-            pairs = pairs.select(F.greatest("doc", "other").alias("a"), F.least("doc", "other").alias("b")).distinct()
-        else:
-            pairs = _stars(left, seed)
-        links = written(links.union(join.links(pairs, known)), "ngram-all-links")
-        components = connected_components(links)
-        if last:
-            break
-    out = sizes.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    sizes = sets.groupBy("doc").agg(F.max("size").alias("size"))
+    out = source.select("doc_id").join(sizes.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
+    out = out.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    known = F.col("doc_id").isNotNull()
+    return out.select(
+        "doc_id",
+        F.when(known, F.coalesce("size", F.lit(0))).cast("long").alias("n_shingles"),
+        F.coalesce("component", "doc_id").alias("component_id"),
+    )

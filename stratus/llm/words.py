@@ -34,7 +34,7 @@ def folded_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return word_hashes(_FOLD[data[inside]], ends - starts), of, starts
 
 
-def groups(texts: list[bytes], most: int = 4 * 2**20) -> Iterator[tuple[int, list[bytes]]]:
+def groups(texts: list[bytes], most: int = 2**20) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts of about ``most`` bytes together (a longer text alone) and the first one's number."""
     at = held = 0
     for i, t in enumerate(texts):
