@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,44 +78,43 @@ def _lines(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         yield of[starts] + first, line[starts], starts, counts, words
 
 
+def _half_keys(sums: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the first and the last words that one edit may leave whole, four per line.
+
+    The shorter line of a pair within one edit has n or n - 1 of the words;
+    of its first half and its last half one is whole in both lines.
+    """
+    back = _inverse_powers(int(counts.max()) + 1)
+    out = []
+    for shorter in (counts, counts - 1):
+        head = shorter // 2
+        tail = shorter - head
+        out.append(_finish(sums[starts + head] - sums[starts], head))
+        out.append(_finish((sums[starts + counts] - sums[starts + counts - tail]) * back[counts - tail], -tail))
+    return out
+
+
 def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_hash, text -> doc_id, text_hash, line_no, n_words, k1, k2 for every line with words."""
-    names = ["doc_id", "text_hash", "line_no", "n_words", "k1", "k2"]
+    """doc_id, text_hash, text -> doc_id, text_hash, line_no, k1, k2, halves for every line with words.
+
+    ``halves`` is null for lines too short to have a neighbour.
+    """
+    names = ["doc_id", "text_hash", "line_no", "k1", "k2", "halves"]
     for b in batches:
         for of, line, starts, counts, words in _lines([t or b"" for t in b.column(2).cast(pa.binary()).to_pylist()]):
             ends = starts + counts
-            keys = []
-            for w in (words, mix64(words ^ _SECOND)):
-                sums, _ = _sequence_sums(w, starts, counts)
-                keys.append(pa.array(_finish(sums[ends] - sums[starts], counts).view(np.int64)))
+            sums, _ = _sequence_sums(words, starts, counts)
+            second, _ = _sequence_sums(mix64(words ^ _SECOND), starts, counts)
+            keys = [pa.array(_finish(x[ends] - x[starts], counts).view(np.int64)) for x in (sums, second)]
+            four = np.column_stack(_half_keys(sums, starts, counts)).ravel().view(np.int64)
+            halves = pa.FixedSizeListArray.from_arrays(pa.array(four), 4).cast(pa.list_(pa.int64()))
+            halves = pc.if_else(pa.array(counts >= MIN_NEAR), halves, pa.scalar(None, halves.type))
             rows = pa.array(of)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(rows), b.column(1).take(rows), pa.array(line.astype(np.int32)), pa.array(counts.astype(np.int32)), *keys],
-                names,
+                [b.column(0).take(rows), b.column(1).take(rows), pa.array(line.astype(np.int32)), *keys, halves], names
             )
 
 
-def _line_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text -> half, k1: hashes of the first and last words that one edit may leave whole (distinct per group)."""
-    for b in batches:
-        for _, _, starts, counts, words in _lines([t or b"" for t in b.column(0).cast(pa.binary()).to_pylist()]):
-            sums, _ = _sequence_sums(words, starts, counts)
-            k1 = _finish(sums[starts + counts] - sums[starts], counts)
-            use = np.flatnonzero(counts >= MIN_NEAR)
-            if not len(use):
-                continue
-            s, n, k1 = starts[use], counts[use], k1[use]
-            back = _inverse_powers(int(n.max()) + 1)
-            out = []
-            for m in (n, n - 1):  # the shorter line of a pair has n or n - 1 words
-                h = m // 2
-                out.append((_finish(sums[s + h] - sums[s], h), k1))
-                tail = m - h
-                out.append((_finish((sums[s + n] - sums[s + n - tail]) * back[n - tail], -tail), k1))
-            rows = np.unique(np.column_stack([np.concatenate([x for x, _ in out]), np.concatenate([k for _, k in out])]), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i]).view(np.int64)) for i in (0, 1)], ["half", "k1"])
-
-
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """k1, line -> k1, variant, gap: the line's hash (gap -1) and those without word ``gap``."""
     for b in batches:
@@ -221,7 +221,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     keyed = written(
-        source.mapInArrow(_line_keys, f"doc_id {kind}, text_hash long, line_no int, n_words int, k1 long, k2 long"), "line-keys"
+        source.mapInArrow(_line_keys, f"doc_id {kind}, text_hash long, line_no int, k1 long, k2 long, halves array<long>"), "line-keys"
     )
     place = F.struct("doc_id", "line_no", "text_hash")
     repeated = written(
@@ -229,7 +229,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "line-repeats",
     )
 
-    halves = docs.select(F.col(text_col).alias("text")).mapInArrow(_line_halves, "half long, k1 long")
+    halves = keyed.select(F.explode("halves").alias("half"), "k1")
     both = halves.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("half")
     candidates = halves.join(both, "half").select("k1").distinct()
     places = written(
