@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratus.llm.hashing import mix64, word_hashes
 
 # pieces or characters taken at a time, and answers each of a worker's two generations remembers
-_PIECES, _CHARACTERS, _MEMO = 100_000, 500_000, 400_000
+_PIECES, _CHARACTERS, _MEMO = 100_000, 500_000, 250_000
 
 
 def read_ranks(path: str) -> list[bytes]:

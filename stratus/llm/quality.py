@@ -20,7 +20,7 @@ from stratus.llm.hashing import word_hashes
 
 # Production parameters: labelled rows a model is fitted on at most (smallest id digests first), and its shape
 SAMPLE = 20_000
-ROUNDS, DEPTH, BINS, RATE, RIDGE, LEAST_WEIGHT = 60, 4, 64, 0.2, 1.0, 5.0
+ROUNDS, DEPTH, BINS, RATE, RIDGE, LEAST_WEIGHT = 60, 4, 64, 0.2, 1.0, 1.0
 THRESHOLD = 0.3
 # bytes counted at a time; a longer text is counted in parts and the counts are added
 _PART = 4 * 2**20
