@@ -231,6 +231,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     halves = keyed.select(F.explode("halves").alias("half"), "k1")
     both = halves.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("half")
+    both = written(both, "line-shared-halves")  # a join of two scans: Spark can split a half that very many lines share
     candidates = halves.join(both, "half").select("k1").distinct()
     places = written(
         keyed.join(candidates, "k1").groupBy("k1", "k2").agg(F.min(place).alias("place")), "line-candidates"

@@ -391,11 +391,13 @@ def _meet(width: int, percent: int):
 def _meetings(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
     """center, lo, hi, block, doc, sigs, packed: who meets where (``lo`` and ``hi`` are the meeting's blocks)."""
     centers = rows.groupBy("sig").agg(F.min("doc").alias("center"), F.count(F.lit(1)).alias("n"), F.max("probe").alias("any"))
-    met = rows.join(centers.filter("n > 1 and any").select("sig", "center"), "sig")
+    # joins of written tables, here and below: Spark can split a hash or a meeting with very many members
+    centers = written(centers.filter("n > 1 and any").select("sig", "center"), "ngram-centers")
+    met = rows.join(centers, "sig")
     members = written(
         met.groupBy("center", "doc").agg(F.collect_list(F.struct("sig", "probe")).alias("sigs")), "ngram-members"
     )
-    sizes = members.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"))
+    sizes = written(members.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks")), "ngram-sizes")
     wanted = members.select("doc").distinct()
     packed = texts.mapInArrow(_pack, "doc long, packed binary").join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
     whole = members.join(sizes, "center").join(packed, "doc")
@@ -422,7 +424,7 @@ def _candidates(texts: DataFrame, width: int, percent: int, hot: int) -> DataFra
 
 def _peeled(rows: DataFrame) -> DataFrame:
     """Allocates again among the documents that are left: without the others, fewer hashes are shared."""
-    cost = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("cost")).filter("cost > 1")
+    cost = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("cost")).filter("cost > 1"), "ngram-costs")
     again = rows.join(cost, "sig").select("sig", "doc", "meta", "cost", "kind").repartition("doc")
     kind = "sig long, doc long, meta long, kind byte, probe boolean"
     return written(again.mapInArrow(_allocate, kind), "ngram-peeled")
