@@ -1,15 +1,9 @@
-"""Measure the design choices the plan review relies on (sf0.1 by default).
-
-(a) distance as a native Column expression vs a row-at-a-time Python UDF
-    (the UDF exists only here, as the baseline being measured);
-(b) the station profile as one aggregate vs five aggregates + four joins;
-(c) rainfall per country-year from gzip CSV files vs from the Parquet lake.
+"""Measure rainfall per country-year from gzip CSV files and from the Parquet lake (sf0.1 by default).
 
 usage: python tools/compare_designs.py [sf_dir]   -> one JSON line
 """
 
 import json
-import math
 import os
 import statistics
 import sys
@@ -19,12 +13,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
-from stratus.functions.geo import haversine_km  # noqa: E402
 from stratus.operators import observations as ob  # noqa: E402
-from stratus.operators import pairs as pr  # noqa: E402
-from stratus.operators import stations as stn  # noqa: E402
 from stratus.plans import fixtures as fx  # noqa: E402
 from stratus.session import local_session  # noqa: E402
 from stratus.sources.daily import read_daily_csv, write_daily_archive  # noqa: E402
@@ -45,42 +35,12 @@ def run(df):
     df.write.format("noop").mode("overwrite").save()
 
 
-def _py_distance(lat1, lon1, lat2, lon2):
-    la1, lo1, la2, lo2 = map(math.radians, (lat1, lon1, lat2, lon2))
-    h = math.sin((la2 - la1) / 2) ** 2 + math.cos(la1) * math.cos(la2) * math.sin((lo2 - lo1) / 2) ** 2
-    return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h)))
-
-
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session("compare", 8, 16)
     spark.sparkContext.setLogLevel("ERROR")
     out = {"sf_dir": sf}
 
-    # (a) all same-country pairs of every country, distance native vs UDF
-    st = stn.with_country_code(fx.fx_station(spark, sf))
-    pairs = pr.pairs_in_groups(st.select("ID", "COUNTRY_CODE", "LATITUDE", "LONGITUDE"), "COUNTRY_CODE")
-    udf = F.udf(_py_distance, T.DoubleType())
-    native = pairs.select(haversine_km("LATITUDE", "LONGITUDE", "LATITUDE_1", "LONGITUDE_1").alias("d"))
-    python = pairs.select(udf("LATITUDE", "LONGITUDE", "LATITUDE_1", "LONGITUDE_1").alias("d"))
-    out["pairs"] = pairs.count()
-    out["distance_native_sec"] = timed(lambda: run(native.agg(F.sum("d"))))
-    out["distance_python_udf_sec"] = timed(lambda: run(python.agg(F.sum("d"))))
-
-    # (b) station profile: one aggregate vs five aggregates joined back
-    inv = fx.fx_inventory(spark, sf)
-    core = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
-    one = stn.inventory_profile(inv, core)
-    years = inv.groupBy("ID").agg(F.min("FIRSTYEAR").alias("f"), F.max("LASTYEAR").alias("l"))
-    cnt = inv.groupBy("ID").agg(F.countDistinct("ELEMENT").alias("n"))
-    lst = inv.groupBy("ID").agg(F.collect_set("ELEMENT").alias("s"))
-    c_core = inv.filter(F.col("ELEMENT").isin(core)).groupBy("ID").agg(F.countDistinct("ELEMENT").alias("c"))
-    c_other = inv.filter(~F.col("ELEMENT").isin(core)).groupBy("ID").agg(F.countDistinct("ELEMENT").alias("o"))
-    five = years.join(cnt, "ID", "left").join(lst, "ID", "left").join(c_core.join(c_other, "ID", "left"), "ID", "left")
-    out["profile_one_aggregate_sec"] = timed(lambda: run(one))
-    out["profile_five_aggregates_sec"] = timed(lambda: run(five))
-
-    # (c) rainfall per country-year: gzip CSV archive vs Parquet lake
     base = tempfile.mkdtemp(prefix="stratus-compare-")
     obs = fx.fx_obs_l(spark, sf)
     csv_dir = write_daily_archive(obs, f"{base}/daily", by_year=True)
