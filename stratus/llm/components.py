@@ -23,10 +23,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
+        # minima in written tables: Spark can then split the join at a node with very many neighbours
+        low = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low")), "edges-low")
         hung = both.join(low, "u").filter("v > u").select(F.col("v").alias("a"), F.col("low").alias("b")).distinct()
         hung = written(hung, "edges-large")
-        low = hung.groupBy("a").agg(F.min("b").alias("low"))
+        low = written(hung.groupBy("a").agg(F.min("b").alias("low")), "edges-low")
         joined = hung.join(low, "a")
         e = joined.select(F.col("a"), F.col("low").alias("b")).union(joined.select("b", "low")).filter("a <> b").distinct()
         e = written(e, "edges-small")

@@ -19,12 +19,11 @@ is indexed as well).
 4. The others probe with their cheapest shared segments (by how many
    documents share them) until their units are covered.
 5. The members of each hash meet at its smallest document, the center, and
-   are compared there, exactly and by whole texts: first with the center,
-   then with each other where a probed hash is common and they are not yet
-   connected.  Large meetings are cut into blocks, each pair of blocks a
-   task group of bounded size that the center takes part in, so copies by
-   the thousand cost a comparison each and only what no link connects is
-   compared pair by pair.  Links become components last.
+   are compared there, exactly and by whole texts, in task groups of
+   bounded size.  First every member is compared with the center: linear,
+   and nearly all copies are attached then.  Members that no link connects
+   to their center are compared with the others of its meeting where a
+   probed hash is common and the two are not yet connected.
 
 No group is collected: a hash that many documents share is counted per
 chunk in the map tasks, and its members travel on by document.
@@ -44,12 +43,12 @@ from pyspark.sql import functions as F
 from stratus.llm.common import written
 from stratus.llm.components import connected_components
 from stratus.llm.hashing import mix64
-from stratus.llm.words import folded_words, groups
+from stratus.llm.words import folded_words, groups, slices
 
 # Production parameters: shingle width and similarity (percent)
 WIDTH, PERCENT = 5, 80
 # rows a map task counts together, and the members from which a hash is hot in such a chunk
-_CHUNK, _HOT = 2**20, 32
+_CHUNK, _HOT = 2**19, 32
 # cost of a segment with at most one element, in rows; spare units beyond the need
 _WEAK, _SPARE = 3.5, 0.08
 # documents of a meeting's block
@@ -211,7 +210,7 @@ def _emit(width: int, percent: int, hot: int):
         held: list[tuple] = []
         sets: list[tuple] = []
         rows = 0
-        for b in batches:
+        for b in slices(batches):
             ids = b.column(0).to_numpy()
             for first, some in groups([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()], 2**20):
                 h, of = shingles(some, width)
@@ -333,7 +332,7 @@ def _allocate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     z = zstandard.ZstdCompressor(level=1)
-    for b in batches:
+    for b in slices(batches):
         packed = [z.compress(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], ["doc", "packed"])
 
@@ -346,25 +345,35 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _meet(width: int, percent: int):
-    """One meeting (center, two blocks) -> links a, b that connect what the whole texts connect."""
+def _sets(packed: pa.ChunkedArray, width: int) -> list[np.ndarray]:
+    z = zstandard.ZstdDecompressor()
+    h, of = shingles([z.decompress(p) for p in packed.to_pylist()], width)
+    return np.split(h, np.cumsum(np.bincount(of, minlength=len(packed)))[:-1])
+
+
+def _links(pairs: list[tuple[int, int]]) -> pa.Table:
+    a, b = np.array(pairs, np.int64).reshape(-1, 2).T
+    return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+
+def _attach(width: int, percent: int):
+    """A block of a meeting and its center -> links of the center."""
+
+    def run(meeting: pa.Table) -> pa.Table:
+        doc, center = meeting.column("doc").to_numpy(), meeting.column("center")[0].as_py()
+        sets = _sets(meeting.column("packed"), width)
+        at = int(np.flatnonzero(doc == center)[0])
+        return _links([(center, d) for d, x in zip(doc, sets) if d != center and similar(sets[at], x, percent)])
+
+    return run
+
+
+def _compare(width: int, percent: int):
+    """Two blocks of a meeting -> links a, b that connect what the whole texts connect."""
 
     def run(meeting: pa.Table) -> pa.Table:
-        z = zstandard.ZstdDecompressor()
-        doc, block = meeting.column("doc").to_numpy(), meeting.column("block").to_numpy()
-        h, of = shingles([z.decompress(p) for p in meeting.column("packed").to_pylist()], width)
-        sets = np.split(h, np.cumsum(np.bincount(of, minlength=len(doc)))[:-1])
-        root = np.arange(len(doc))
-        links = []
-
-        def link(i: int, j: int) -> None:
-            links.append((doc[i], doc[j]))
-            root[root == root[j]] = root[i]
-
-        center = int(np.flatnonzero(doc == meeting.column("center")[0].as_py())[0])
-        for i in range(len(doc)):
-            if i != center and similar(sets[center], sets[i], percent):
-                link(center, i)
+        doc, side = meeting.column("doc").to_numpy(), meeting.column("side").to_numpy()
+        root = np.unique(meeting.column("component").to_numpy(), return_inverse=True)[1]
         lists = meeting.column("sigs").combine_chunks()
         row = np.repeat(np.arange(len(doc)), np.asarray(lists.value_lengths()))
         sig, probe = (lists.flatten().field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -375,42 +384,75 @@ def _meet(width: int, percent: int):
         common = np.zeros((len(doc), len(doc)), bool)
         for i, j in zip(edges[:-1][apart], edges[1:][apart]):
             common[np.ix_(row[i:j][probe[i:j]], row[i:j])] = True
-        size = np.array([len(x) for x in sets])
-        fits = 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
-        # of two blocks only pairs across them are compared here
-        across = block[:, None] != block[None, :] if meeting.column("lo")[0].as_py() != meeting.column("hi")[0].as_py() else True
-        for i, j in np.argwhere(np.triu((common | common.T) & fits & across, 1)):
+        common |= common.T
+        if side.min() != side.max():  # pairs inside a block are compared where it meets itself
+            common &= side[:, None] != side[None, :]
+        common &= root[:, None] != root[None, :]
+        used = np.flatnonzero(common.any(axis=1))
+        sets = dict(zip(used.tolist(), _sets(meeting.column("packed").take(pa.array(used)), width)))
+        found = []
+        for i, j in np.argwhere(np.triu(common, 1)).tolist():
             if root[i] != root[j] and similar(sets[i], sets[j], percent):
-                link(i, j)
-        a, b = np.array(links, np.int64).reshape(-1, 2).T
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+                found.append((doc[i], doc[j]))
+                root[root == root[j]] = root[i]
+        return _links(found)
 
     return run
 
 
-def _meetings(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
-    """center, lo, hi, block, doc, sigs, packed: who meets where (``lo`` and ``hi`` are the meeting's blocks)."""
+def _members(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Written table of center, doc, sigs (hash and probe), packed: who meets where, with its whole text."""
     centers = rows.groupBy("sig").agg(F.min("doc").alias("center"), F.count(F.lit(1)).alias("n"), F.max("probe").alias("any"))
     # joins of written tables, here and below: Spark can split a hash or a meeting with very many members
     centers = written(centers.filter("n > 1 and any").select("sig", "center"), "ngram-centers")
-    met = rows.join(centers, "sig")
-    members = written(
-        met.groupBy("center", "doc").agg(F.collect_list(F.struct("sig", "probe")).alias("sigs")), "ngram-members"
-    )
-    sizes = written(members.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks")), "ngram-sizes")
-    wanted = members.select("doc").distinct()
-    packed = texts.mapInArrow(_pack, "doc long, packed binary").join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
-    whole = members.join(sizes, "center").join(packed, "doc")
-    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    last = F.col("blocks") - 1
-    everywhere = F.flatten(
-        F.transform(F.sequence(F.lit(0), last), lambda i: F.transform(F.sequence(i, last), lambda j: F.struct(i.alias("lo"), j.alias("hi"))))
-    )
-    mine = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.least(i, own).alias("lo"), F.greatest(i, own).alias("hi")))
-    at = F.explode(F.when(F.col("doc") == F.col("center"), everywhere).otherwise(mine)).alias("at")
-    return whole.select("center", "doc", "sigs", "packed", own.alias("block"), at).select(
-        "center", "at.lo", "at.hi", "block", "doc", "sigs", "packed"
+    met = rows.join(centers, "sig").groupBy("center", "doc").agg(F.collect_list(F.struct("sig", "probe")).alias("sigs"))
+    met = written(met, "ngram-meetings")
+    packed = texts.mapInArrow(_pack, "doc long, packed binary").join(met.select("doc").distinct(), "doc", "left_semi")
+    packed = written(packed.dropDuplicates(["doc"]), "ngram-texts")
+    return written(met.join(packed, "doc"), "ngram-members")
+
+
+def _blocks(rows: DataFrame, most: int, *counts: tuple[str, F.Column]) -> DataFrame:
+    """``rows`` with the number of blocks of each of the ``counts`` (name, which rows) per center."""
+    sizes = rows.groupBy("center").agg(*[F.ceil(F.count_if(on) / most).cast("int").alias(name) for name, on in counts])
+    return rows.join(written(sizes, "ngram-blocks"), "center")
+
+
+def _upto(n: F.Column) -> F.Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _star_links(members: DataFrame, width: int, percent: int, most: int) -> DataFrame:
+    """Links between centers and members: blocks of members, the center in each."""
+    m = _blocks(members.drop("sigs"), most, ("blocks", F.lit(True)))
+    own = F.array(F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    at = F.when(F.col("doc") == F.col("center"), _upto(F.col("blocks"))).otherwise(own)
+    m = m.select("center", F.explode(at).alias("block"), "doc", "packed")
+    return m.groupBy("center", "block").applyInArrow(_attach(width, percent), "a long, b long")
+
+
+def _rest_links(members: DataFrame, components: DataFrame, width: int, percent: int, most: int) -> DataFrame:
+    """Links between members that are not connected to their center, and the other members of the meeting.
+
+    Blocks of such members meet each other and the blocks of connected
+    ones; the latter never meet each other.
+    """
+    c = components.select(F.col("node").alias("doc"), "component")
+    m = members.join(c, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    m = m.join(c.select(F.col("doc").alias("center"), F.col("component").alias("of")), "center", "left")
+    m = written(m.withColumn("loose", F.col("component") != F.coalesce("of", "center")).drop("of"), "ngram-loose")
+    m = _blocks(m, most, ("loose_blocks", F.col("loose")), ("tied_blocks", ~F.col("loose"))).filter("loose_blocks > 0")
+    n = F.when(F.col("loose"), F.col("loose_blocks")).otherwise(F.col("tied_blocks"))
+    own = F.pmod(F.xxhash64("doc"), n).cast("int")
+    key = lambda tied, lo, hi, side: F.struct(F.lit(tied).alias("tied"), lo.alias("lo"), hi.alias("hi"), side.alias("side"))
+    loose = F.concat(
+        F.transform(_upto(F.col("loose_blocks")), lambda i: key(False, F.least(i, own), F.greatest(i, own), own)),
+        F.transform(_upto(F.col("tied_blocks")), lambda i: key(True, own, i, F.lit(-1))),
     )
+    tied = F.transform(_upto(F.col("loose_blocks")), lambda i: key(True, i, own, F.lit(-2)))
+    m = m.select("center", "doc", "component", "sigs", "packed", F.explode(F.when(F.col("loose"), loose).otherwise(tied)).alias("at"))
+    m = m.select("center", "at.*", "doc", "component", "sigs", "packed")
+    return m.groupBy("center", "tied", "lo", "hi").applyInArrow(_compare(width, percent), "a long, b long")
 
 
 def _candidates(texts: DataFrame, width: int, percent: int, hot: int) -> DataFrame:
@@ -456,9 +498,13 @@ def similar_components(
     rows = _candidates(texts, width, percent, hot)
     sets = rows.filter(F.col("kind") == _SET).select("doc", F.col("sig").alias("same"), F.col("meta").alias("size"))
     left = _peeled(rows.filter(F.col("kind") == _GROUPED))
-    met = _meetings(left, texts, block).groupBy("center", "lo", "hi").applyInArrow(_meet(width, percent), "a long, b long")
-    links = written(met.union(sets.filter("doc <> same").select("doc", "same")), "ngram-links")
+    members = _members(left, texts)
+    links = written(
+        _star_links(members, width, percent, block).union(sets.filter("doc <> same").select("doc", "same")), "ngram-links"
+    )
     components = connected_components(links)
+    rest = written(_rest_links(members, components, width, percent, block), "ngram-rest")
+    components = connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
     sizes = sets.groupBy("doc").agg(F.max("size").alias("size"))
     out = source.select("doc_id").join(sizes.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
     out = out.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
