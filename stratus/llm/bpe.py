@@ -24,9 +24,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from stratus.llm.hashing import mix64, word_hashes
+from stratus.llm.words import slices
 
 # pieces or characters taken at a time, and answers each of a worker's two generations remembers
-_PIECES, _CHARACTERS, _MEMO = 100_000, 500_000, 250_000
+_PIECES, _CHARACTERS, _MEMO = 100_000, 500_000, 150_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -214,7 +215,7 @@ class Tokenizer:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(shared.value, pattern)
-            for b in batches:
+            for b in slices(batches):
                 ids = codec.encode(b.column(1).to_pylist())
                 n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array(n)], [id_col, "ids", "n_tokens"])
@@ -230,7 +231,7 @@ class Tokenizer:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(shared.value, pattern)
-            for b in batches:
+            for b in slices(batches):
                 out = [None if x is None else codec.decode(x) for x in b.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names)
 

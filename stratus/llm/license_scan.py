@@ -17,6 +17,8 @@ from collections.abc import Iterator, Mapping
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from stratus.llm.words import slices
+
 # The contract's base phrases and their labels
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 # Notice phrases and labels of this scanner
@@ -220,10 +222,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton({**BASE, **NOTICES, TAG: None})
-        for b in batches:
+        for b in slices(batches):
             rows = [scan_text(t or b"", automaton) for t in b.column(1).cast(pa.binary()).to_pylist()]
-            cols = zip(*rows) if rows else [[] for _ in _OUT]
-            out = [pa.array(c, f.type) for c, f in zip(cols, _OUT)]
+            out = [pa.array(c, f.type) for c, f in zip(zip(*rows), _OUT)]
             yield pa.RecordBatch.from_arrays([b.column(0), *out], [id_col, *(f.name for f in _OUT)])
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from stratus.llm.common import free_name, written
 from stratus.llm.hashing import mix64, powers
-from stratus.llm.words import folded_words, groups
+from stratus.llm.words import folded_words, groups, slices
 
 # Production parameter: lines of fewer words must be equal to be alike
 MIN_NEAR = 8
@@ -100,7 +100,7 @@ def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ``halves`` is null for lines too short to have a neighbour.
     """
     names = ["doc_id", "text_hash", "line_no", "k1", "k2", "halves"]
-    for b in batches:
+    for b in slices(batches):
         for of, line, starts, counts, words in _lines([t or b"" for t in b.column(2).cast(pa.binary()).to_pylist()]):
             ends = starts + counts
             sums, _ = _sequence_sums(words, starts, counts)
@@ -117,7 +117,7 @@ def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """k1, line -> k1, variant, gap: the line's hash (gap -1) and those without word ``gap``."""
-    for b in batches:
+    for b in slices(batches):
         for of, _, starts, counts, words in _lines([t.replace(b"\n", b" ") for t in b.column(1).to_pylist()]):
             sums, place = _sequence_sums(words, starts, counts)
             ends = starts + counts
@@ -155,7 +155,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     z = zstandard.ZstdCompressor(level=1)
-    for b in batches:
+    for b in slices(batches):
         packed = [None if t is None else z.compress(t) for t in b.column(2).cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], ["doc_id", "text_hash", "packed"])
 
@@ -167,7 +167,7 @@ def _unpacked(column: pa.Array) -> list[bytes | None]:
 
 def _pick_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """packed, wanted (line_no, k1 ...) -> k1, line for each wanted line."""
-    for b in batches:
+    for b in slices(batches):
         k1, line = [], []
         for text, wanted in zip(_unpacked(b.column(0)), b.column(1).to_pylist()):
             all_lines = text.split(b"\n")
@@ -190,11 +190,12 @@ def near_lines(keyed: DataFrame, lines: DataFrame, places: DataFrame) -> DataFra
     """
     emitted = written(lines.mapInArrow(_variants, "k1 long, variant long, gap int"), "line-variants")
     shared = emitted.groupBy("variant").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("variant")
+    shared = written(shared, "line-shared")
     v = written(emitted.join(shared, "variant").join(places.select("k1", "place"), "k1"), "line-shared-variants")
     first = F.min(F.struct("place", "k1"))
-    by_gap = v.filter("gap >= 0").groupBy("variant", "gap").agg(first.alias("first"))
+    by_gap = written(v.filter("gap >= 0").groupBy("variant", "gap").agg(first.alias("first")), "line-by-gap")
     whole = v.filter("gap < 0").groupBy("variant").agg(first.alias("first"))
-    any_gap = v.filter("gap >= 0").groupBy("variant").agg(first.alias("first"))
+    any_gap = by_gap.groupBy("variant").agg(F.min("first").alias("first"))
     found = (
         v.join(by_gap, ["variant", "gap"])
         .unionByName(v.filter("gap >= 0").join(whole, "variant"))
@@ -232,7 +233,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     halves = keyed.select(F.explode("halves").alias("half"), "k1")
     both = halves.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("half")
     both = written(both, "line-shared-halves")  # a join of two scans: Spark can split a half that very many lines share
-    candidates = halves.join(both, "half").select("k1").distinct()
+    candidates = written(halves.join(both, "half").select("k1").distinct(), "line-candidate-keys")
     places = written(
         keyed.join(candidates, "k1").groupBy("k1", "k2").agg(F.min(place).alias("place")), "line-candidates"
     )
@@ -262,12 +263,12 @@ def _cut(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, names: li
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             three = next(_pack(iter([b.select([0, 1, 2])])))
             yield pa.RecordBatch.from_arrays([*three.columns, *b.columns[3:]], [*three.schema.names, *b.schema.names[3:]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts, n, dropped, near = [], [], [], []
             lists = zip(_unpacked(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist())
             for text, out, out_near in lists:

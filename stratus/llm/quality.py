@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 
 from stratus.llm.common import free_name, id_digest
 from stratus.llm.hashing import word_hashes
+from stratus.llm.words import slices
 
 # Production parameters: labelled rows a model is fitted on at most (smallest id digests first), and its shape
 SAMPLE = 20_000
 ROUNDS, DEPTH, BINS, RATE, RIDGE, LEAST_WEIGHT = 60, 4, 64, 0.2, 1.0, 1.0
 THRESHOLD = 0.3
 # bytes counted at a time; a longer text is counted in parts and the counts are added
-_PART = 4 * 2**20
+_PART = 2**20
 
 # one class per byte value: 0 other letters' bytes, then the ASCII classes
 _LOWER, _UPPER, _DIGIT, _WHITE, _LINE, _STOP, _COMMA, _BANG, _PIPE, _PUNCT, _CONTROL = range(1, 12)
@@ -86,7 +87,7 @@ def _counts(data: np.ndarray, lens: np.ndarray) -> np.ndarray:
 def features(texts: pa.Array) -> np.ndarray:
     """Statistics (documents x len(NAMES)) of whole texts; a null text counts as empty.
 
-    A word across the edge of a part of a text longer than 4 MB counts as two.
+    A word across the edge of a part of a text longer than 1 MB counts as two.
     """
     raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
     counts = np.zeros((len(raw), _COUNTS))
@@ -207,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             x = features(b.column(2))
             vectors = pa.array(list(x), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), vectors], ["doc_id", "quality", "x"])
@@ -237,7 +238,7 @@ def score_quality(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD,
     text_at = list(carry).index("text") if "text" in carry else len(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             score = shared.value.score(features(b.column(text_at)))
             cols = [b.column(i) for i in range(len(carry))]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(score), pa.array((score >= threshold).astype(np.int32))], names)
