@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from stratus.llm.common import written
 
 # Production parameters: vectors whose scores give the first bounds, top-level centers at most, rows of a block, of a tree's leaf
-SAMPLE, CELLS, BLOCK, LEAF, FANOUT = 1024, 256, 4096, 64, 12
+SAMPLE, CELLS, BLOCK, LEAF, FANOUT = 4096, 256, 4096, 256, 8
 
 
 def integer_vectors(column: pa.ListArray, scale: float) -> list[bytes | None]:
@@ -51,12 +51,16 @@ def matrix(packed: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(p.ljust(width, b"\0") for p in packed), "<i8").reshape(len(packed), width // 8)
 
 
+def fits_double(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether every inner product of rows, and every partial sum, is an exact double."""
+    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1) < 2.0**53
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer inner products of the rows of ``a`` and ``b`` (as far as they fit 64 bits)."""
     n = min(a.shape[1], b.shape[1])
     a, b = a[:, :n], b[:, :n]
-    top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * n
-    if top < 2.0**53:
+    if fits_double(a, b):
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     return a @ b.T
 
@@ -71,29 +75,38 @@ class Node:
         self.rows, self.children = rows, children
 
 
-def cover_tree(x: np.ndarray, rows: np.ndarray | None = None, center: int | None = None) -> Node:
-    """Cover tree over the rows of ``x`` (floats).
+def cover_tree(x: np.ndarray, rows: np.ndarray | None = None, center: int = 0) -> Node:
+    """Cover tree over the points ``x`` (floats), whose numbers are ``rows``; ``center`` is the root's place among them.
 
     Children are the points picked farthest first, until they cover the
     node at half its radius or there are FANOUT of them; every point goes
-    to its nearest one.  Radii are measured, so any tree is a valid cover.
+    to its nearest one.  Picks go by distances from dot products; the
+    covering radius is measured on the differences, so it holds whatever
+    was picked.
     """
     rows = np.arange(len(x)) if rows is None else rows
-    at = int(rows[0]) if center is None else center
-    away = np.sqrt(((x[rows] - x[at]) ** 2).sum(axis=1))
-    radius = float(away.max(initial=0.0))
+    gap = x - x[center]
+    radius = float(np.sqrt(np.einsum("ij,ij->i", gap, gap).max(initial=0.0)))
     if len(rows) <= LEAF or radius == 0:
-        return Node(x[at], radius, rows, [])
-    picks, nearest, owner = [at], away.copy(), np.zeros(len(rows), np.int64)
-    while len(picks) < FANOUT and nearest.max() > radius / 2:
-        new = int(rows[int(nearest.argmax())])
-        d = np.sqrt(((x[rows] - x[new]) ** 2).sum(axis=1))
+        return Node(x[center], radius, rows, [])
+    norms = np.einsum("ij,ij->i", x, x)
+    squares = lambda i: np.maximum(norms - 2 * (x @ x[i]) + norms[i], 0)
+    picks, nearest, owner = [center], squares(center), np.zeros(len(rows), np.int64)
+    while len(picks) < FANOUT and nearest.max() > radius**2 / 4:
+        new = int(nearest.argmax())
+        d = squares(new)
         closer = d < nearest
+        closer[new] = True  # a picked point is its own child, so every child is smaller than the node
         owner[closer] = len(picks)
         nearest = np.minimum(nearest, d)
+        nearest[new] = 0
         picks.append(new)
-    parts = [(p, rows[owner == i]) for i, p in enumerate(picks)]
-    return Node(x[at], radius, rows, [cover_tree(x, part, p) for p, part in parts if len(part)])
+    children = []
+    for k, pick in enumerate(picks):
+        part = np.flatnonzero(owner == k)
+        if len(part):
+            children.append(cover_tree(x[part], rows[part], int(np.flatnonzero(part == pick)[0]) if owner[pick] == k else 0))
+    return Node(x[center], radius, rows, children)
 
 
 def bound(q: Node, d: Node) -> float:
@@ -110,20 +123,22 @@ class Search:
         self.floor = floor  # scores that k other vectors are known to reach
         self.best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(query_ids)
         self.worst = floor.astype(np.float64).copy()
+        self.multiply = products
 
     def leaf_pair(self, rows: np.ndarray, ids: np.ndarray, data: np.ndarray) -> None:
-        scores = products(self.queries[rows], data)
-        for r, s in zip(rows, scores):
-            take = np.flatnonzero((s >= self.worst[r]) & (ids != self.ids[r]))
-            if not len(take):
-                continue
-            score, vec = (np.concatenate([old, new[take]]) for old, new in zip(self.best[r], (s, ids)))
+        scores = self.multiply(self.queries[rows], data)
+        hit = (scores >= self.worst[rows][:, None]) & (ids[None, :] != self.ids[rows][:, None])
+        for i in np.flatnonzero(hit.any(axis=1)):
+            take, r = np.flatnonzero(hit[i]), rows[i]
+            score, vec = (np.concatenate([old, new[take]]) for old, new in zip(self.best[r], (scores[i].astype(np.int64), ids)))
             order = np.lexsort((vec, -score))[: self.k]
             self.best[r] = score[order], vec[order]
             if len(order) == self.k:
                 self.worst[r] = max(self.worst[r], float(score[order[-1]]))
 
     def run(self, q_root: Node, d_root: Node, ids: np.ndarray, data: np.ndarray) -> None:
+        if fits_double(self.queries, data):  # products of floats are exact then, and fast
+            self.queries, data, self.multiply = self.queries.astype(np.float64), data.astype(np.float64), lambda a, b: a @ b.T
         todo = [(q_root, d_root)]
         while todo:
             q, d = todo.pop()
