@@ -21,6 +21,7 @@ def line(*fields):
     return out
 
 
+# fixed values: the golden rows of this and the next tests are published sample rows of the archive
 def test_station_golden_rows(spark):
     lines = [
         line((1, "ACW00011647"), (13, " 17.1333"), (22, " -61.7833"), (32, "  19.2"), (42, "ST JOHNS")),
