@@ -48,7 +48,7 @@ from stratus.llm.words import folded_words, groups, slices
 # Production parameters: shingle width and similarity (percent)
 WIDTH, PERCENT = 5, 80
 # rows a map task counts together, and the members from which a hash is hot in such a chunk
-_CHUNK, _HOT = 2**19, 32
+_CHUNK, _HOT = 2**18, 32
 # cost of a segment with at most one element, in rows; spare units beyond the need
 _WEAK, _SPARE = 3.5, 0.08
 # documents of a meeting's block
@@ -212,7 +212,7 @@ def _emit(width: int, percent: int, hot: int):
         rows = 0
         for b in slices(batches):
             ids = b.column(0).to_numpy()
-            for first, some in groups([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()], 2**20):
+            for first, some in groups([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]):
                 h, of = shingles(some, width)
                 sizes = np.bincount(of, minlength=len(some))
                 here = ids[first : first + len(some)]
@@ -243,26 +243,49 @@ def _emit(width: int, percent: int, hot: int):
     return run
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
-    """The columns of a partition as arrays (none for an empty one)."""
-    got = list(batches)
-    return [c.to_numpy() for c in pa.Table.from_batches(got).columns] if sum(b.num_rows for b in got) else []
+def _runs(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2**17) -> Iterator[list[np.ndarray]]:
+    """The columns of a sorted partition in parts that end where the value of ``column`` does.
+
+    A task holds one part at a time, however large its partition is.
+    """
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def part(upto: int | None) -> list[np.ndarray]:
+        nonlocal held, n
+        whole = pa.Table.from_batches(held)
+        out = [c.to_numpy() for c in whole.columns]
+        upto = len(whole) if upto is None else int(np.searchsorted(out[column], out[column][-1]))
+        held, n = whole.slice(upto).to_batches(), len(whole) - upto
+        return [c[:upto] for c in out]
+
+    most = rows
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= most:
+            columns = part(0)
+            if len(columns[0]):
+                yield columns
+            most = max(rows, 2 * n)
+    if n:
+        yield part(None)
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition of hashes -> sig, doc, meta, cost, kind.
+    """A partition sorted by hash -> sig, doc, meta, cost, kind.
 
     Grouped rows: those of hashes that two documents share, and how many
     share them.  Sets: the smallest document of equal sets in place of sig,
     the size in place of meta.
     """
-    columns = _read(batches)
-    if not columns:
-        return
-    sig, doc, meta, n, kind = columns
+    for columns in _runs(batches, 0):
+        yield _shared_part(*columns)
+
+
+def _shared_part(sig: np.ndarray, doc: np.ndarray, meta: np.ndarray, n: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
     n = n.astype(np.int64)
     at = np.flatnonzero(kind == _GROUPED)
-    at = at[np.argsort(sig[at])]
     first = np.flatnonzero(np.concatenate([[True], sig[at][1:] != sig[at][:-1]])) if len(at) else at
     total = np.add.reduceat(n[at], first) if len(at) else at
     cost = np.repeat(total, np.diff(np.append(first, len(at))))
@@ -284,20 +307,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         [np.full(len(at) + len(member), _GROUPED), zero + _SET],
     )
     arrays = [pa.array(np.concatenate(x)) for x in out]
-    yield pa.RecordBatch.from_arrays([*arrays[:4], arrays[4].cast(pa.int8())], ["sig", "doc", "meta", "cost", "kind"])
+    return pa.RecordBatch.from_arrays([*arrays[:4], arrays[4].cast(pa.int8())], ["sig", "doc", "meta", "cost", "kind"])
 
 
 def _allocate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of whole documents -> sig, doc, meta, kind, probe.
+    """A partition sorted by document -> sig, doc, meta, kind, probe.
 
     Rows of sets pass.  Grouped rows stay if their document is the smallest
     of its set and can have a partner; ``probe`` marks the allocated ones.
     """
-    columns = _read(batches)
-    if not columns:
-        return
+    for columns in _runs(batches, 1):
+        yield from _allocate_part(*columns)
+
+
+def _allocate_part(sig: np.ndarray, doc: np.ndarray, meta: np.ndarray, cost: np.ndarray, kind: np.ndarray) -> Iterator[pa.RecordBatch]:
     names = ["sig", "doc", "meta", "kind", "probe"]
-    sig, doc, meta, cost, kind = columns
     whole = np.flatnonzero(kind == _SET)
     if len(whole):
         yield pa.RecordBatch.from_arrays([*(pa.array(x[whole]) for x in (sig, doc, meta, kind)), pa.array(np.zeros(len(whole), bool))], names)
@@ -459,15 +483,15 @@ def _candidates(texts: DataFrame, width: int, percent: int, hot: int) -> DataFra
     """Written table of sig, doc, meta, kind, probe: sets of all documents, and the rows of those that may have partners."""
     emitted = texts.mapInArrow(_emit(width, percent, hot), "sig long, doc long, meta long, n int, kind byte")
     by_group = F.when(F.col("kind").isin(_GROUPED, _SET), F.col("sig")).otherwise(F.xxhash64("doc"))
-    shared = emitted.repartition(by_group).mapInArrow(_shared, "sig long, doc long, meta long, cost long, kind byte")
+    shared = emitted.repartition(by_group).sortWithinPartitions("sig").mapInArrow(_shared, "sig long, doc long, meta long, cost long, kind byte")
     kind = "sig long, doc long, meta long, kind byte, probe boolean"
-    return written(shared.repartition("doc").mapInArrow(_allocate, kind), "ngram-rows")
+    return written(shared.repartition("doc").sortWithinPartitions("doc").mapInArrow(_allocate, kind), "ngram-rows")
 
 
 def _peeled(rows: DataFrame) -> DataFrame:
     """Allocates again among the documents that are left: without the others, fewer hashes are shared."""
     cost = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("cost")).filter("cost > 1"), "ngram-costs")
-    again = rows.join(cost, "sig").select("sig", "doc", "meta", "cost", "kind").repartition("doc")
+    again = rows.join(cost, "sig").select("sig", "doc", "meta", "cost", "kind").repartition("doc").sortWithinPartitions("doc")
     kind = "sig long, doc long, meta long, kind byte, probe boolean"
     return written(again.mapInArrow(_allocate, kind), "ngram-peeled")
 

@@ -24,7 +24,7 @@ SAMPLE = 20_000
 ROUNDS, DEPTH, BINS, RATE, RIDGE, LEAST_WEIGHT = 60, 4, 64, 0.2, 1.0, 1.0
 THRESHOLD = 0.3
 # bytes counted at a time; a longer text is counted in parts and the counts are added
-_PART = 2**20
+_PART = 2**19
 
 # one class per byte value: 0 other letters' bytes, then the ASCII classes
 _LOWER, _UPPER, _DIGIT, _WHITE, _LINE, _STOP, _COMMA, _BANG, _PIPE, _PUNCT, _CONTROL = range(1, 12)
@@ -87,7 +87,7 @@ def _counts(data: np.ndarray, lens: np.ndarray) -> np.ndarray:
 def features(texts: pa.Array) -> np.ndarray:
     """Statistics (documents x len(NAMES)) of whole texts; a null text counts as empty.
 
-    A word across the edge of a part of a text longer than 1 MB counts as two.
+    A word across the edge of a part of a text longer than 512 KB counts as two.
     """
     raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
     counts = np.zeros((len(raw), _COUNTS))

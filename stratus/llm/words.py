@@ -35,14 +35,14 @@ def folded_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return word_hashes(_FOLD[data[inside]], ends - starts), of, starts
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
     """The batches in parts of few rows: a task holds the texts of one part as Python objects, not of a whole batch."""
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
 
 
-def groups(texts: list[bytes], most: int = 2**20) -> Iterator[tuple[int, list[bytes]]]:
+def groups(texts: list[bytes], most: int = 2**19) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts of about ``most`` bytes together (a longer text alone) and the first one's number."""
     at = held = 0
     for i, t in enumerate(texts):

@@ -134,3 +134,16 @@ def test_shingles_are_distinct_per_text():
     h, of = nj.shingles([b"a b c d e f", b"A b c d e", b"", b"z", b"a a a a a a a a"])
     assert np.bincount(of, minlength=5).tolist() == [2, 1, 0, 1, 1]
     assert h[of == 1][0] in h[of == 0]
+
+
+def test_runs_never_split_a_value():
+    import pyarrow as pa
+
+    key = np.sort(np.random.default_rng(1).integers(0, 40, 1000))
+    key = np.concatenate([key, np.full(500, 77), [90]])
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + 33]), pa.array(np.arange(len(key))[i : i + 33])], ["k", "i"]) for i in range(0, len(key), 33)]
+    parts = list(nj._runs(iter(batches), 0, rows=50))
+    assert np.array_equal(np.concatenate([p[0] for p in parts]), key)
+    assert np.array_equal(np.concatenate([p[1] for p in parts]), np.arange(len(key)))
+    assert len(parts) > 5 and all(a[0][-1] != b[0][0] for a, b in zip(parts, parts[1:]))
+    assert list(nj._runs(iter([]), 0)) == []
