@@ -79,8 +79,10 @@ def slot_schedule(targets: DataFrame, block: int) -> DataFrame:
 
     A source's share of the slots is what its target needs, partial last
     blocks included.  The schedule runs a little longer than that, for
-    sources that the points serve late; ranks beyond a source's target are
-    left out, and the last rank stops where the target is reached.
+    sources that the points serve late; ranks that a source still lacks then
+    come as last slots, ranks beyond its target are left out, and its last
+    rank stops where the target is reached.  So every source gives its
+    target, rounded up to a whole word.
     """
     spark = targets.sparkSession
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -95,18 +97,21 @@ def slot_schedule(targets: DataFrame, block: int) -> DataFrame:
         "source", "source_size", "target", "lo", "hi",
         F.explode(F.sequence(F.expr(f"lo div {width}"), F.expr(f"(hi - 1) div {width}"))).alias("cell"),
     )
-    slots = spark.range(need + need // 50 + 16).select(F.col("id").alias("slot"), (F.col("id") % _ONE * _STEP % _ONE).alias("point"))
+    extent = need + need // 50 + 16
+    slots = spark.range(extent).select(F.col("id").alias("slot"), (F.col("id") % _ONE * _STEP % _ONE).alias("point"))
     slots = slots.withColumn("cell", F.expr(f"point div {width}")).join(cells, "cell").filter("point >= lo and point < hi")
     slots = slots.withColumns({"source_key": F.struct("source"), "chunk": F.expr(f"slot div {_CHUNK}")})
-    before = (
-        slots.groupBy("source_key", "chunk")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.sum("n").over(Window.partitionBy("source_key").orderBy("chunk")) - F.col("n"))
-        .drop("n")
-    )
+    counts = slots.groupBy("source_key", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("source_key").orderBy("chunk")) - F.col("n")).drop("n")
     inside = Window.partitionBy("source_key", "chunk").orderBy("slot")
     slots = slots.withColumn("rank", F.row_number().over(inside) - 1).join(before, ["source_key", "chunk"])
     slots = slots.withColumn("rank", F.col("rank") + F.col("before"))
+    served = counts.groupBy("source_key").agg(F.sum("n").alias("served"))
+    late = t.withColumn("source_key", F.struct("source")).join(served, "source_key", "left").fillna(0, ["served"]).filter("served < need")
+    late = late.withColumn("rank", F.explode(F.sequence("served", F.col("need") - 1)))
+    late = late.withColumn("slot", extent + F.col("upto") - F.col("need") + F.col("rank"))  # a range of its own per source
+    columns = ["slot", "source_key", "source_size", "target", "rank"]
+    slots = slots.select(*columns).unionByName(late.select(*columns))
     blocks = F.ceil(F.col("source_size") / block)
     slots = slots.withColumns({"pass": F.floor(F.col("rank") / blocks), "block_no": F.col("rank") % blocks})
     # words of the target that earlier ranks have taken: whole passes and whole blocks

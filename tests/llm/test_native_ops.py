@@ -150,6 +150,22 @@ def test_mix_reaches_targets(frame):
         assert abs(run.count(s) / 200 - want[s] / sum(want.values())) < 0.04
 
 
+def test_small_sources_beside_a_big_one_reach_their_targets(frame):
+    """Targets of one to a few slots each, which the points serve late or not at all."""
+    rng = random.Random(4)
+    rows = [(d, "w " * 2000, "big") for d in range(100)]
+    rows += [(1000 + i, "w " * rng.choice([300, 700, 1200]), f"s{i}") for i in range(300)]
+    for weights, share in (((3, 1, 2), 1.5), ([3000] + [1] * 300, 0.5)):  # needs of 2 to 6 slots, and of 1
+        mix = mixing.mix_sources(frame(rows, ", source string"), weights, share, least_block=500)
+        target, taken = {}, collections.Counter()
+        for r in mix.taken().collect():
+            target[r.source] = r.target
+            taken[r.source] += r.taken
+        assert {s: taken[s] for s in target} == {s: math.ceil(t) for s, t in target.items()}
+        slots = [r.slot for r in mix.slots.collect()]
+        assert len(slots) == len(set(slots))
+
+
 def test_mix_edges(frame):
     assert mixing.mix_sources(frame([], ", source string")).taken().count() == 0
     blank = mixing.mix_sources(frame([(1, None, "a"), (2, " ", None)], ", source string")).taken().collect()
