@@ -15,6 +15,9 @@ is indexed as well).
 3. Hashes that only one document has prove that no partner shares the
    segment.  A document whose unshared segments are worth its H + 1 units
    has no partner at all and drops out: nearly all unrelated documents do.
+   Empty segments are emitted only by documents that are short of units
+   without them; those rule out partners that are short as well, and keep
+   their other rows for partners that are not.
    Of documents with equal sets only the smallest goes on.
 4. The others probe with their cheapest shared segments (by how many
    documents share them) until their units are covered.
@@ -55,6 +58,8 @@ _WEAK, _SPARE = 3.5, 0.08
 _BLOCK = 400
 # kinds of rows: of a hash's group, a hot hash's member, and the same for the digests of whole sets
 _GROUPED, _MEMBER, _SET, _COPY = range(4)
+# units to spare that a row can name; more count as so many, which rules out less
+_SLACK = 2**26 - 1
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -150,13 +155,18 @@ def _segments(h: np.ndarray, of: np.ndarray, sizes: np.ndarray, bands: np.ndarra
     doc = np.repeat(np.arange(len(m)), m)
     number = np.arange(cells) - base[doc]
     weight = 1 + (number < deletable[doc])
+    # one element's removal leaves the empty segment, which a partner need not emit: worth one unit only
+    sure = np.where(held > 1, weight, held)
     need = differences(np.minimum(sizes, largest), percent) + 1
-    slack = np.bincount(doc, weight * (held > 0), len(m)).astype(np.int64) - need
-    short = slack < 0  # only a document short of units needs its empty segments too
+    slack = np.bincount(doc, sure, len(m)).astype(np.int64) - need
+    # a document short of units emits its empty segments too: among short ones every segment has its full worth
+    short = slack < 0
     slack = np.where(short, m + deletable - need, slack)
+    weight = np.where(short[doc], weight, np.maximum(sure, 1))
     out = (held > 0) | short[doc]
     salt = mix64((bands[doc].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64))
-    meta = (bands[doc] << 57) | (number << 29) | (weight - 1) << 28 | np.minimum(slack, 2**28 - 1)[doc]
+    meta = (bands[doc] << 57) | (number << 29) | (weight - 1) << 28 | short[doc].astype(np.int64) << 27 | (held == 0).astype(np.int64) << 26
+    meta |= np.minimum(slack, _SLACK)[doc]
     variant = np.flatnonzero(number[cell] < deletable[of])
     c = cell[variant]
     return (
@@ -330,25 +340,30 @@ def _allocate_part(sig: np.ndarray, doc: np.ndarray, meta: np.ndarray, cost: np.
     if not len(use):
         return
     sig, doc, meta, cost = sig[use], doc[use], meta[use], cost[use]
-    slack, weight, segment = meta & (2**28 - 1), ((meta >> 28) & 1) + 1, meta >> 29
+    segment = meta >> 29
     # a segment (of a document and band) costs what its shared hashes cost together
     order = np.lexsort((segment, doc))
-    sig, doc, meta, slack, weight, segment, cost = (x[order] for x in (sig, doc, meta, slack, weight, segment, cost))
+    sig, doc, meta, segment, cost = (x[order] for x in (sig, doc, meta, segment, cost))
     first = np.flatnonzero(np.concatenate([[True], (segment[1:] != segment[:-1]) | (doc[1:] != doc[:-1])]))
     rows = np.diff(np.append(first, len(sig)))
     price = np.add.reduceat(cost, first)
-    d, b, w, spare = doc[first], segment[first] >> 28, weight[first], slack[first]
+    # texts that repeat an id may differ in worth and slack: what rules out least holds
+    d, b, w = doc[first], segment[first] >> 28, np.maximum.reduceat((meta >> 28) & 1, first) + 1
+    spare, short = np.minimum.reduceat(meta & _SLACK, first), np.maximum.reduceat((meta >> 27) & 1, first)
+    empty = np.minimum.reduceat((meta >> 26) & 1, first)
     order = np.lexsort((segment[first], price, b, d))  # cheapest first within a document and band
-    d, b, w, spare = (x[order] for x in (d, b, w, spare))
+    d, b, w, spare, short, empty = (x[order] for x in (d, b, w, spare, short, empty))
     new = np.concatenate([[True], (d[1:] != d[:-1]) | (b[1:] != b[:-1])])
     group = np.cumsum(new) - 1
+    spare, short = np.minimum.reduceat(spare, np.flatnonzero(new))[group], np.maximum.reduceat(short, np.flatnonzero(new))[group]
     run = np.cumsum(w)
     before = run - w - (run - w)[np.flatnonzero(new)][group]
     matched = np.bincount(group, w).astype(np.int64)[group]
     # units that shared segments must bring in; none: unshared segments alone rule every partner out
     owed = matched - spare
     keep, probe = np.empty(len(order), bool), np.empty(len(order), bool)
-    keep[order], probe[order] = owed > 0, before < owed
+    # a partner that is not short does not emit empty segments, so these rule out short ones only: it probes, the rest stays
+    keep[order], probe[order] = (owed > 0) | ((short > 0) & (empty == 0)), before < owed
     keep, probe = np.repeat(keep, rows), np.repeat(probe, rows)
     kinds = pa.array(np.full(int(keep.sum()), _GROUPED, np.int8))
     yield pa.RecordBatch.from_arrays([*(pa.array(x[keep]) for x in (sig, doc, meta)), kinds, pa.array(probe[keep])], names)

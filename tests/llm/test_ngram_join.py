@@ -68,6 +68,61 @@ def test_matches_brute_force(frame, seed):
     assert {tuple(r) for r in got.collect()} == brute(rows)
 
 
+def kept(rows, percent=80):
+    """sig, doc, probe of the rows that ``_candidates`` and ``_peeled`` leave, without Spark."""
+    import pyarrow as pa
+
+    texts = pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["doc", "text"])
+    emitted = pa.Table.from_batches(nj._emit(5, percent, 32)(iter([texts]))).sort_by("sig")
+    shared = pa.Table.from_batches(nj._shared(iter(emitted.to_batches()))).sort_by("doc")
+    left = pa.Table.from_batches(nj._allocate(iter(shared.to_batches())))
+    left = left.filter(pa.compute.equal(left["kind"], nj._GROUPED))
+    cost = left.group_by("sig").aggregate([("doc", "count")]).rename_columns(["sig", "cost"])
+    again = left.join(cost.filter(pa.compute.greater(cost["cost"], 1)), "sig").select(["sig", "doc", "meta", "cost", "kind"])
+    if not len(again):
+        return []
+    again = again.set_column(3, "cost", again["cost"].cast(pa.int64())).sort_by("doc").combine_chunks()
+    last = pa.Table.from_batches(nj._allocate(iter(again.to_batches())))
+    return list(zip(*(last[c].to_pylist() for c in ("sig", "doc", "probe"))))
+
+
+def isolated_pair(seed):
+    """Two linked texts of 4 to 40 shingles that nothing else resembles: words appended, removed or replaced."""
+    rng = random.Random(seed)
+    while True:
+        a = [f"v{seed}_{i}" for i in range(rng.choice([*range(8, 25), 30, 44]))]
+        b = list(a)
+        for _ in range(rng.randint(1, 3)):
+            i = rng.choice([0, len(b) - 1, len(b)])
+            b[i : i + rng.randint(0, 1)] = [f"n{rng.random()}"] * rng.randint(0, 1)
+        x, y = sets_of(" ".join(a)), sets_of(" ".join(b))
+        if x != y and 100 * len(x & y) >= 80 * len(x | y):
+            return [(1, " ".join(a)), (2, " ".join(b))]
+
+
+def lost(rows):
+    """Whether no probed hash is common to the two texts."""
+    left = kept(rows)
+    docs, probed = {}, set()
+    for sig, doc, probe in left:
+        docs.setdefault(sig, set()).add(doc)
+        if probe:
+            probed.add(sig)
+    return not any(len(docs[sig]) == 2 for sig in probed)
+
+
+def test_isolated_pairs_meet():
+    assert [seed for seed in range(3000) if lost(isolated_pair(seed))] == []
+
+
+@pytest.mark.parametrize("seed", [430, 1310])
+def test_isolated_pairs_link(frame, seed):
+    """Pairs that empty segments kept apart."""
+    rows = isolated_pair(seed)
+    got = {tuple(r) for r in nj.similar_components(frame(rows)).collect()}
+    assert got == brute(rows) and {c for *_, c in got} == {1}
+
+
 def test_meetings_in_blocks_lose_nothing(frame):
     rows = near_copies(random.Random(5), 150)
     assert {tuple(r) for r in nj.similar_components(frame(rows), block=3, hot=2).collect()} == brute(rows)
