@@ -34,3 +34,13 @@ def word_hashes(letters: np.ndarray, lens: np.ndarray) -> np.ndarray:
     starts = np.cumsum(lens) - lens
     place = np.arange(len(letters)) - np.repeat(starts, lens)
     return mix64(np.add.reduceat(_TABLE[letters] * powers(int(lens.max()))[place], starts) + lens.astype(np.uint64))
+
+
+def long_word_hash(letters: np.ndarray, part: int) -> np.uint64:
+    """``word_hashes`` of one word, ``part`` bytes at a time."""
+    total, shift = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+    for k in range(0, len(letters), part):
+        some = letters[k : k + part]
+        total += shift * (_TABLE[some] * powers(len(some))).sum(dtype=np.uint64)
+        shift = shift * powers(part + 1)[part:]
+    return mix64(total + np.uint64(len(letters)))[0]

@@ -8,6 +8,7 @@ batch down a tree together.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,15 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import free_name, id_digest
-from stratus.llm.hashing import word_hashes
+from stratus.llm.common import WHITE, free_name, id_digest
+from stratus.llm.hashing import long_word_hash, word_hashes
 from stratus.llm.words import slices
 
 # Production parameters: labelled rows a model is fitted on at most (smallest id digests first), and its shape
 SAMPLE = 20_000
 ROUNDS, DEPTH, BINS, RATE, RIDGE, LEAST_WEIGHT = 60, 4, 64, 0.2, 1.0, 1.0
 THRESHOLD = 0.3
-# bytes counted at a time; a longer text is counted in parts and the counts are added
+# bytes counted at a time; a longer text is counted in parts
 _PART = 2**19
 
 # one class per byte value: 0 other letters' bytes, then the ASCII classes
@@ -41,6 +42,8 @@ _CLASS[ord(".")], _CLASS[ord(",")], _CLASS[ord("!")], _CLASS[ord("|")] = _STOP,
 _CLASSES = 12
 # counts per document: the classes, then what is counted over words
 _COUNTS = _CLASSES + 8
+_ECHO, _DISTINCT = _CLASSES + 4, _CLASSES + 7
+_BLANKS = [bytes([c]) for c in (9, 10, 11, 12, 13, 32)]
 NAMES = [
     "log_bytes", "log_words", "mean_word", "other", "lower", "upper", "digit", "white", "line", "stop", "comma", "bang",
     "pipe", "punct", "control", "capital_words", "shouted_words", "symbol_words", "echo_words", "short_words", "long_words",
@@ -48,12 +51,12 @@ NAMES = [
 ]
 
 
-def _counts(data: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """Counts (documents x _COUNTS) of texts whose bytes stand end to end in ``data``."""
+def _counts(data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (documents x _COUNTS) of texts whose bytes stand end to end in ``data``, and the hashes of all words."""
     docs = len(lens)
     out = np.zeros((docs, _COUNTS))
     if not len(data):
-        return out
+        return out, np.zeros(0, np.uint64)
     kind = _CLASS[data]
     doc = np.repeat(np.arange(docs), lens)
     out[:, :_CLASSES] = np.bincount(doc * _CLASSES + kind, minlength=docs * _CLASSES).reshape(docs, _CLASSES)
@@ -63,7 +66,7 @@ def _counts(data: np.ndarray, lens: np.ndarray) -> np.ndarray:
     before = np.concatenate([[False], inside[:-1]])
     starts = np.flatnonzero(inside & (~before | edge))
     if not len(starts):
-        return out
+        return out, np.zeros(0, np.uint64)
     after = np.concatenate([~inside[1:] | edge[1:], [True]])
     size = np.flatnonzero(inside & after) + 1 - starts
     letters, of, first = data[inside], doc[starts], kind[starts]
@@ -81,14 +84,53 @@ def _counts(data: np.ndarray, lens: np.ndarray) -> np.ndarray:
         (np.ones(len(h), bool), first == _UPPER, (upper >= 2) & (2 * upper >= size), symbol > 0, same, size <= 3, size >= 12, fresh)
     ):
         out[:, _CLASSES + k] = np.bincount(of[hit], minlength=docs)
+    return out, h
+
+
+def _word_counts(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_counts`` of a text that is one word longer than a part."""
+    out = np.zeros((1, _COUNTS))
+    for k in range(0, len(word), _PART):
+        out[0, :_CLASSES] += np.bincount(_CLASS[word[k : k + _PART]], minlength=_CLASSES)
+    upper, symbol = out[0, _UPPER], out[0, [_PUNCT, _BANG, _PIPE, _CONTROL]].sum()
+    size = len(word)
+    out[0, _CLASSES:] = 1, _CLASS[word[0]] == _UPPER, upper >= 2 and 2 * upper >= size, symbol > 0, 0, size <= 3, size >= 12, 1
+    return out, np.array([long_word_hash(word, _PART)])
+
+
+def _parts(text: bytes) -> Iterator[np.ndarray]:
+    """``text`` cut behind white space into parts of ``_PART`` bytes at most; a longer word is a part of its own."""
+    at = 0
+    while at < len(text):
+        end = len(text)
+        if end - at > _PART:
+            end = max(text.rfind(c, at, at + _PART) for c in _BLANKS) + 1
+            if end <= at:
+                blank = re.compile(WHITE.encode()).search(text, at + _PART)
+                end = blank.start() if blank else len(text)
+        yield np.frombuffer(text, np.uint8, end - at, at)
+        at = end
+
+
+def _long_counts(text: bytes) -> np.ndarray:
+    """``_counts`` of one text, in parts."""
+    out, last = np.zeros(_COUNTS), np.zeros(0, np.uint64)
+    seen, merged = [last], 0
+    for part in _parts(text):
+        counts, h = _word_counts(part) if len(part) > _PART else _counts(part, np.array([len(part)]))
+        out += counts[0]
+        out[_ECHO] += len(last) and len(h) and last[0] == h[0]
+        last = h[-1:] if len(h) else last
+        seen.append(np.unique(h))
+        if sum(map(len, seen)) > 2 * merged + _PART:
+            seen = [np.unique(np.concatenate(seen))]
+            merged = len(seen[0])
+    out[_DISTINCT] = len(np.unique(np.concatenate(seen)))
     return out
 
 
 def features(texts: pa.Array) -> np.ndarray:
-    """Statistics (documents x len(NAMES)) of whole texts; a null text counts as empty.
-
-    A word across the edge of a part of a text longer than 512 KB counts as two.
-    """
+    """Statistics (documents x len(NAMES)) of whole texts, the same at any length; a null text counts as empty."""
     raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
     counts = np.zeros((len(raw), _COUNTS))
     group: list[int] = []
@@ -98,15 +140,13 @@ def features(texts: pa.Array) -> np.ndarray:
         nonlocal held
         if group:
             data = np.frombuffer(b"".join(raw[i] for i in group), np.uint8)
-            counts[group] = _counts(data, np.array([len(raw[i]) for i in group]))
+            counts[group] = _counts(data, np.array([len(raw[i]) for i in group]))[0]
         group.clear()
         held = 0
 
     for i, t in enumerate(raw):
         if len(t) > _PART:
-            for k in range(0, len(t), _PART):
-                part = np.frombuffer(t[k : k + _PART], np.uint8)
-                counts[i] += _counts(part, np.array([len(part)]))[0]
+            counts[i] = _long_counts(t)
             continue
         if held + len(t) > _PART:
             flush()

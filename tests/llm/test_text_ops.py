@@ -224,6 +224,17 @@ def test_statistics_of_parts_add_up(monkeypatch):
 
 
 # -------------------------------------------------------- top-k search
+def test_statistics_are_the_same_at_any_length(monkeypatch):
+    rng = random.Random(3)
+    words = ["a", "Bc", "Def.", "GHI!", "x|y", "é", "longer-than-a-part-" * 3, "LOUD" * 9, "\x01"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "\n", " \t ", "  "]) for _ in range(n)) for n in (1, 3, 40, 400)]
+    texts += ["a " * 300, "W" * 100, " " * 100, "same-and-long-word-of-many " * 5]
+    whole = quality.features(pa.array(texts))
+    for part in (1, 7, 16, 64):
+        monkeypatch.setattr(quality, "_PART", part)
+        assert np.array_equal(quality.features(pa.array(texts)), whole)
+
+
 def brute_topk(rows, k, every, scale):
     ok = [(i, np.floor(scale * np.array(v, float)).astype(object)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = set()
