@@ -30,17 +30,22 @@ SAMPLE, CELLS, BLOCK, LEAF, FANOUT = 4096, 256, 4096, 256, 8
 
 
 def integer_vectors(column: pa.ListArray, scale: float) -> list[bytes | None]:
-    """floor(scale * x) of each vector, packed as 64-bit integers; None where a vector or a component is null or not finite."""
+    """floor(scale * x) of each vector, packed as 64-bit integers; None where a vector or a component is null or not finite.
+
+    A component beyond 62 bits raises.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     lens = np.asarray(column.value_lengths().fill_null(0))
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     ends = np.cumsum(lens)
-    with np.errstate(invalid="ignore"):
+    with np.errstate(invalid="ignore", over="ignore"):
         scaled = np.floor(scale * values)
     row = np.repeat(np.arange(len(lens)), lens)
-    bad = np.bincount(row, ~np.isfinite(scaled) | (np.abs(scaled) >= 2.0**62), len(lens)) > 0
-    packed = np.where(np.isfinite(scaled) & (np.abs(scaled) < 2.0**62), scaled, 0).astype("<i8")
+    bad = np.bincount(row, ~np.isfinite(values), len(lens)) > 0
+    if (np.isfinite(values) & (np.abs(scaled) >= 2.0**62) & ~bad[row]).any():
+        raise OverflowError("a scaled component does not fit 62 bits")
+    packed = np.where(bad[row], 0, scaled).astype("<i8")
     gone = np.asarray(column.is_null()) | bad
     return [None if gone[i] else packed[ends[i] - lens[i] : ends[i]].tobytes() for i in range(len(lens))]
 
@@ -57,11 +62,16 @@ def fits_double(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of the rows of ``a`` and ``b`` (as far as they fit 64 bits)."""
+    """Exact integer inner products of the rows of ``a`` and ``b``; one beyond 64 bits raises."""
     n = min(a.shape[1], b.shape[1])
     a, b = a[:, :n], b[:, :n]
     if fits_double(a, b):
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+    # sums wrap modulo 2^64, so a product that fits is right whatever its partial sums were
+    size = np.abs(a).astype(np.float64) @ np.abs(b).astype(np.float64).T
+    for i, j in np.argwhere(size >= 2.0**62).tolist():
+        if not -(2**63) <= sum(x * y for x, y in zip(a[i].tolist(), b[j].tolist())) < 2**63:
+            raise OverflowError("an inner product does not fit 64 bits")
     return a @ b.T
 
 
@@ -214,8 +224,9 @@ def top_k(
 
     Queries are the rows whose id is divisible by ``every``; candidates are
     all rows of another id, ties go to the smaller id.  A vector that is
-    null, or has a null or non-finite component (or one that does not fit
-    62 bits), takes no part, nor does a null id.  Vectors of unequal length
+    null, or has a null or non-finite component, takes no part, nor does a
+    null id.  A component beyond 62 bits, or a computed inner product beyond
+    64 bits, raises.  Vectors of unequal length
     are compared as if filled up with zeros.  A repeated id is a candidate
     as often as it occurs and has its rows' results ranked together.
     """

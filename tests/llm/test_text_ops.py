@@ -270,6 +270,15 @@ def test_topk_edges(spark):
     assert [(r.vec_id, r.score) for r in sorted(rows, key=lambda r: r["rank"])] == [(7, 2**60 + 3), (8, 2**60 + 2)]
 
 
+def test_topk_overflow_raises(spark):
+    for huge in ([2.0**62], [1e308], [2.0**32, 2.0**32]):
+        rows = spark.createDataFrame([(0, huge), (1, huge)], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="does not fit"):
+            topk_search.top_k(rows).collect()
+    a, b = np.array([[2**33, 2**33, 5], [1, 1, 2]]), np.array([[2**33, -(2**33), 7], [3, 4, 5]])
+    assert topk_search.products(a, b).tolist() == [[35, 7 * 2**33 + 25], [14, 17]]  # partial sums wrap, products fit
+
+
 def test_cover_tree_covers():
     x = np.random.default_rng(2).normal(size=(700, 5))
     seen = []
