@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, quality, sharding, topk_search, url_filter
+from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, piece_bpe, quality, sharding, topk_search, url_filter
 from stratus.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,3 +283,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = quality.train(docs, table(spark, sf_dir, "labels"), quality.SAMPLE)
     scored = quality.score_quality(docs, forest, quality.THRESHOLD)
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+# ------------------------------------------------------ 13 SentencePiece
+@query("op13_sentencepiece")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = piece_bpe.PieceTokenizer(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    coded = tokenizer.decode(tokenizer.encode(table(spark, sf_dir, "documents")))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
