@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, piece_bpe, quality, sharding, topk_search, url_filter
-from stratus.llm.common import table
+from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, periodic_runs, piece_bpe, quality, sharding, topk_search, url_filter
+from stratus.llm.common import WHITE, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -285,6 +285,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+# -------------------------------------------------------------- 12 runs
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth document, by crc32 of its id, repeats some words of its own to its end."""
+    words = F.array_remove(F.split("text", f"{WHITE}+"), "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g"))
+    d = d.withColumn("n", F.size("words").cast("long")).withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    d = d.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr("concat(slice(words, 1, cast(a as int)), slice(flatten(array_repeat("
+                      "slice(words, cast(a + 1 as int), cast(p as int)), cast(ceil((n - a) / p) as int))), 1, cast(n - a as int)))")
+    return d.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # exact comparison of length / period; runs come by start, then period, so the first of equals stays
+    none = F.struct(*[F.lit(x).cast("long").alias(c) for c, x in (("start", 0), ("length", 0), ("period", 1))])
+    best = F.aggregate("runs", none, lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    best = F.when(F.size("runs") > 0, best)
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed")
+    return out.select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 # ------------------------------------------------------ 13 SentencePiece
 @query("op13_sentencepiece")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
