@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, ngram_join, periodic_runs, piece_bpe, quality, sharding, topk_search, url_filter
+from stratus.llm import bpe, exact_dedup, hard_negatives, license_scan, line_dedup, mixing, ngram_join, periodic_runs, piece_bpe, quality, sharding, topk_search, url_filter
 from stratus.llm.common import WHITE, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,6 +285,30 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+# --------------------------------------------------- 11 hard negatives
+@query(
+    "op11_hard_negatives",
+    """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, list_dot_product(a.e, c.e)::BIGINT AS score, a.label = c.label AS same
+    FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(v.withColumn("label", moved), k=5, positives=5, every=100, window=(80, 100), scale=256.0)
+
+
 # -------------------------------------------------------------- 12 runs
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text; every tenth document, by crc32 of its id, repeats some words of its own to its end."""

@@ -19,6 +19,11 @@ COLUMNS = {
     "op7_topk_search": ["query_id", "rank", "vec_id", "score"],
     "op9_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op10_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op11_hard_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op12_periodic_runs": [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+    ],
+    "op13_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
@@ -34,7 +39,7 @@ def duck():
 
 def test_one_query_per_operator():
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(q.ORACLE) <= set(names)
 
