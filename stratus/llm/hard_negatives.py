@@ -39,6 +39,7 @@ from stratus.llm.topk_search import fits_double, integer_vectors, matrix, produc
 SAMPLE, TILES, BLOCK, GROUP, LEAF, FANOUT = 4096, 64, 8192, 4096, 64, 8
 
 _PACKED = "vec_id long, label long, v binary"
+_EVERY, _LAST = (-(2**63), 2**63 - 1), 2**63 - 1  # the window of all scores; an id that no id comes behind
 
 
 def str_order(x: np.ndarray, least: int) -> list[np.ndarray]:
@@ -135,29 +136,34 @@ class RTree:
             out.append((least, most))
         return out
 
-    def search(self, i: int, reach, scores, anchor_id: int, label: int, same: bool, k: int, window: tuple[int, int] | None):
-        """(score, id) of the ``k`` best rows for anchor ``i``, of its label or of others, inside the window of scores."""
+    def search(self, i: int, reach, scores, anchor_id: int, label: int, same: bool, k: int, windows: list[tuple[int, int]]):
+        """Per window of scores, (score, id) of the ``k`` best rows for anchor ``i``, of its label or of others.
+
+        The windows share one queue, so a leaf is looked at once for all of them.
+        """
         highs, wanted = [], []  # per level: each node's largest score, and whether rows below it can count
         for (low, high), (*_, labels, mixed) in zip(reach, self.levels):
-            some = mixed | ((labels == label) == same)
-            if window:
-                some &= (high[i] >= window[0]) & (low[i] <= window[1])
+            inside = np.zeros(len(labels), bool)
+            for least, most in windows:
+                inside |= (high[i] >= least) & (low[i] <= most)
             highs.append(high[i].tolist())
-            wanted.append(some.tolist())
-        best: list[tuple[int, int]] = []  # heap of (score, -id): the k-th row on top
+            wanted.append((inside & (mixed | ((labels == label) == same))).tolist())
+        best: list[list[tuple[int, int]]] = [[] for _ in windows]  # heaps of (score, -id): the k-th row on top
+        # what a row must reach to count anywhere: a score, and at this very score an id before
+        need, before = min(w[0] for w in windows), _LAST
         queue: list[tuple[float, int, int]] = []
 
         def push(level: int, nodes: range) -> None:
             high, some, first = highs[level], wanted[level], self.first[level]
             for n in nodes:
-                if some[n] and (len(best) < k or high[n] > best[0][0] or (high[n] == best[0][0] and first[n] < -best[0][1])):
+                if some[n] and (high[n] > need or (high[n] == need and first[n] < before)):
                     heapq.heappush(queue, (-high[n], level, n))
 
         top = len(self.levels) - 1
         push(top, range(len(highs[top])))
         while queue:
             high, level, node = heapq.heappop(queue)
-            if len(best) == k and -high < best[0][0]:
+            if -high < need:
                 break
             if level:
                 push(level - 1, range(node * FANOUT, min((node + 1) * FANOUT, len(highs[level - 1]))))
@@ -165,18 +171,25 @@ class RTree:
             a, b = self.starts[node], self.ends[node]
             s = scores(i, a, b)
             self.seen += b - a
-            hit = ((self.labels[a:b] == label) == same) & (self.ids[a:b] != anchor_id)
-            if window:
-                hit &= (s >= window[0]) & (s <= window[1])
-            if len(best) == k:
-                hit &= s >= best[0][0]
-            for j in np.flatnonzero(hit).tolist():
-                row = (int(s[j]), -int(self.ids[a + j]))
-                if len(best) < k:
-                    heapq.heappush(best, row)
-                elif row > best[0]:
-                    heapq.heapreplace(best, row)
-        return sorted(((s, -v) for s, v in best), key=lambda r: (-r[0], r[1]))
+            hit = np.flatnonzero((s >= need) & ((self.labels[a:b] == label) == same))
+            changed = False
+            for score, other in zip(s[hit].tolist(), self.ids[a:b][hit].tolist()):
+                if other == anchor_id:
+                    continue
+                for rows, (least, most) in zip(best, windows):
+                    if not least <= score <= most:
+                        continue
+                    if len(rows) < k:
+                        heapq.heappush(rows, (score, -other))
+                        changed = True
+                    elif (score, -other) > rows[0]:
+                        heapq.heapreplace(rows, (score, -other))
+                        changed = True
+            if changed:
+                lacking = [(rows[0][0], -rows[0][1]) if len(rows) == k else (w[0], _LAST) for rows, w in zip(best, windows)]
+                need = min(score for score, _ in lacking)
+                before = max(other for score, other in lacking if score == need)
+        return [sorted(((s, -v) for s, v in rows), key=lambda r: (-r[0], r[1])) for rows in best]
 
 
 def score_window(score: int, least: int, most: int) -> tuple[int, int]:
@@ -198,7 +211,7 @@ def _widths(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _mine(k: int, least: int, most: int, same: bool):
-    """Searches one block for one group of anchors; with windows, one search per positive."""
+    """Searches one block for one group of anchors: the anchor's label without a window, or other labels in a window per positive."""
 
     def run(anchors: pa.Table, block: pa.Table) -> pa.Table:
         a, x = _widths(matrix(anchors.column("v").to_pylist()), matrix(block.column("w").to_pylist()))
@@ -207,14 +220,12 @@ def _mine(k: int, least: int, most: int, same: bool):
             tree = RTree(x, block.column("other").to_numpy(), block.column("other_label").to_numpy())
             reach, scores = tree.intervals(a), _scores(a, tree)
             ids, labels = (anchors.column(c).to_pylist() for c in ("vec_id", "label"))
-            positives = [None] * len(a) if same else anchors.column("positives").to_pylist()
-            for i, (one, label, wanted) in enumerate(zip(ids, labels, positives)):
-                for p in wanted or [None]:
-                    window = None if p is None else score_window(p["score"], least, most)
-                    if window and window[0] > window[1]:
-                        continue
-                    for score, other in tree.search(i, reach, scores, one, label, same, k, window):
-                        rows.append((one, 0 if p is None else p["of"], other, score))
+            positives = [[{"of": 0}]] * len(a) if same else anchors.column("positives").to_pylist()
+            for i, (one, label, asked) in enumerate(zip(ids, labels, positives)):
+                ranges = [(p["of"], _EVERY if same else score_window(p["score"], least, most)) for p in asked]
+                ranges = [(of, w) for of, w in ranges if w[0] <= w[1]]
+                found = tree.search(i, reach, scores, one, label, same, k, [w for _, w in ranges]) if ranges else []
+                rows += [(one, of, other, score) for (of, _), best in zip(ranges, found) for score, other in best]
         columns = zip(*rows) if rows else [[]] * 4
         return pa.table({n: pa.array(list(c), pa.int64()) for n, c in zip(("anchor_id", "of", "vec_id", "score"), columns)})
 

@@ -70,7 +70,7 @@ def test_tree_prunes_where_the_vectors_have_structure():
         reach, scores = tree.intervals(anchors), hn._scores(anchors, tree)
         label = dict(zip(tree.ids.tolist(), tree.labels.tolist()))
         for i in range(40):
-            tree.search(i, reach, scores, i, label[i], True, 5, None)
+            tree.search(i, reach, scores, i, label[i], True, 5, [hn._EVERY])
         share[kind] = tree.seen / (40 * 4000)
     assert share["clusters"] < 0.25 and share["noise"] > 0.9
 
