@@ -97,3 +97,61 @@ def daily_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
     lines = spark.read.text(path)
     return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected_lines"))
+
+
+# --- quarantine: what a line of the archive may fail by
+_CHECKED = T.StructType([*DAILY_SCHEMA.fields, T.StructField("RAW_LINE", T.StringType())])
+
+
+def read_daily_checked(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The daily files with every line's defects, in one scan.
+
+    The typed columns, and for lines with defects RAW_LINE, SOURCE_FILE and
+    FAILED_FIELDS: ``fields`` (their number is wrong), DATE, VALUE (not
+    what the layout says) or OBV_TIME (no time of day).  Blank fields are
+    missing, not malformed; for good lines the three columns are null.
+    The lines go through Spark's own CSV parser, so quotes, dates and
+    numbers are read as by ``read_daily_csv``.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    options = {
+        "mode": "PERMISSIVE", "delimiter": ",", "dateFormat": DAILY_DATE_FORMAT, "columnNameOfCorruptRecord": "RAW_LINE",
+    }
+    texts = ", ".join(f"{f.name} string" for f in DAILY_SCHEMA.fields) + ", MORE string"
+    r = lines.select(
+        "value",
+        "file",
+        F.from_csv("value", F.lit(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _CHECKED.fields)), options).alias("typed"),
+        F.from_csv("value", F.lit(texts), {"delimiter": ","}).alias("texts"),
+    )
+    given = lambda c: F.trim(F.coalesce(F.col(f"texts.{c}"), F.lit(""))) != ""
+    parts = F.size(F.split("value", ",", -1))
+    short = F.col("typed.RAW_LINE").isNotNull() & (parts != len(DAILY_SCHEMA.fields))
+    failed = F.array_compact(
+        F.array(
+            F.when(short, F.lit("fields")),
+            *[F.when(given(c) & F.col(f"typed.{c}").isNull(), F.lit(c)) for c in ("DATE", "VALUE")],
+            F.when(given("OBV_TIME") & obs_minute("typed.OBV_TIME").isNull(), F.lit("OBV_TIME")),
+        )
+    )
+    r = r.withColumn("failed", failed).withColumn("bad", F.size("failed") > 0)
+    return r.select(
+        *[F.col(f"typed.{f.name}").alias(f.name) for f in DAILY_SCHEMA.fields],
+        F.when(F.col("bad"), F.col("value")).alias("RAW_LINE"),
+        F.when(F.col("bad"), F.col("file")).alias("SOURCE_FILE"),
+        F.when(F.col("bad"), F.col("failed")).alias("FAILED_FIELDS"),
+    )
+
+
+def split_daily(spark: SparkSession, path: str | list[str], out: str) -> tuple[DataFrame, DataFrame]:
+    """Write the daily files to ``out`` once, good lines and quarantined ones apart; both as DataFrames.
+
+    One scan of the text and one job: the folder ``REJECTED=false`` holds
+    the typed rows (the lake is written from there), ``REJECTED=true`` the
+    lines that failed, whole, with their file and fields.
+    """
+    checked = read_daily_checked(spark, path)
+    checked.withColumn("REJECTED", F.col("FAILED_FIELDS").isNotNull()).write.mode("overwrite").partitionBy("REJECTED").parquet(out)
+    both = spark.read.schema(checked.schema.add("REJECTED", "boolean")).parquet(out)
+    good = both.filter(~F.col("REJECTED")).select(*DAILY_SCHEMA.fieldNames())
+    return good, both.filter("REJECTED").select("RAW_LINE", "SOURCE_FILE", "FAILED_FIELDS")

@@ -18,6 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratus.layouts import DAILY_DATE_FORMAT, DAILY_SCHEMA
 from stratus.sources.lake import write_observation_lake
+from stratus.streaming.rollup import add_delivery
+
+
+def batch_name(checkpoint_dir: str, batch_id: int) -> str:
+    """A batch's name: streams with checkpoints of their own have batches of their own."""
+    return f"{hashlib.sha256(checkpoint_dir.rstrip('/').encode()).hexdigest()[:12]}-{batch_id}"
+
+
+def ingest_batch(rows: DataFrame, lake_dir: str, batch: str, rollup_dir: str | None = None) -> None:
+    """Write one batch to the lake, and its country-year states to the rollup; the same batch again replaces both."""
+    write_observation_lake(rows, lake_dir, batch=batch)
+    if rollup_dir:
+        add_delivery(rows, rollup_dir, batch)
 
 
 def ingest_daily_stream(
@@ -27,11 +40,14 @@ def ingest_daily_stream(
     checkpoint_dir: str,
     max_files_per_trigger: int = 64,
     wait: bool = True,
+    rollup_dir: str | None = None,
 ):
     """Stream ``source_dir`` (gzip CSV, archive format) into ``lake_dir``.
 
     Batches are named after the checkpoint folder, so streams with
-    checkpoints of their own can feed one lake.
+    checkpoints of their own can feed one lake.  With ``rollup_dir`` each
+    batch also leaves its country-year states there (``streaming.rollup``);
+    a batch that runs again replaces both.
     """
     stream = (
         spark.readStream.schema(DAILY_SCHEMA)
@@ -40,10 +56,9 @@ def ingest_daily_stream(
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(source_dir)
     )
-    name = hashlib.sha256(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        write_observation_lake(rows, lake_dir, batch=f"{name}-{batch_id}")
+        ingest_batch(rows, lake_dir, batch_name(checkpoint_dir, batch_id), rollup_dir)
 
     query = (
         stream.writeStream.foreachBatch(write)
