@@ -11,12 +11,14 @@ from stratus.session import output_path
 WHITE = r"[\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` as a Parquet table in the cluster's shared folder, read back.
 
     Cuts lineage: a lost executor re-reads the table instead of redoing
@@ -24,10 +26,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = output_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: int = 4 * 1024 * 1024) -> None:
+    """Has Spark hand texts to Python in batches of ``size`` bytes, where the session keeps its default of 64 MB.
+
+    A task holds a batch in the JVM and in Python, each in buffers that may
+    be twice as long, and every core runs a task.
+    """
+    if spark.conf.get(_BATCH, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, str(size))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only.  Pure ASCII text takes the byte-wise ``lower``."""
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Every source's documents are laid end to end in shuffled order (by the
-digest of their id) and cut into blocks of equally many words.  Slot j of
+digest of id and text) and cut into blocks of equally many words.  Slot j of
 the mix draws the point j * golden ratio (modulo 1, in 32-bit integers),
 whose place in the cumulative targets names a source; the rank r of the
 slot among its source's slots names the block: r modulo the number of
@@ -11,13 +11,12 @@ close to their targets, and no random state is kept.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.common import hex_digits, id_digest, word_count, written
+from stratus.llm.common import hex_digits, word_count, written
 
 # 2^32 divided by the golden ratio, and the unit interval's cells
 _STEP = 2654435769
@@ -25,6 +24,9 @@ _ONE = 2**32
 _CELLS = 4096
 _CHUNK = 2**16
 
+# Production parameter: words of a block
+BLOCK = 256
+
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     """source, source_size, target: ``share`` of all words, dealt by weight.
@@ -52,15 +54,23 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     )
 
 
+def row_digest(id_col: str, text_col: str) -> Column:
+    """A row's position in the shuffled order: a digest of its id and text, so rows that share an id are spread as well."""
+    told = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    return F.md5(F.concat(told, F.lit("/"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).cast("binary"))
+
+
 def stream_positions(docs: DataFrame, per_bucket: int = 50_000) -> DataFrame:
-    """``docs`` (doc_id, source, size, ...) with start: words of its source before it, in shuffled order.
+    """``docs`` (doc_id, source, size, digest, ...) with start: words of its source before it, in the order of the digests.
 
-    A two-level sum: per (source, leading digits of the id's digest), then
-    inside such a bucket, so no source is summed by one task.
+    A two-level sum: per (source, leading digits of the digest), then
+    inside such a bucket, so no source is summed by one task.  Rows without
+    words all start at 0; they take no place and are not sorted.
     """
+    empty = docs.filter("size = 0").withColumn("start", F.lit(0).cast("long")).drop("digest")
+    docs = docs.filter("size > 0")
     digits = hex_digits(docs.count(), per_bucket)
-    d = docs.withColumn("digest", id_digest("doc_id"))
-    d = d.withColumn("bucket", F.substring("digest", 1, digits))
+    d = docs.withColumn("bucket", F.substring("digest", 1, digits))
     key = ["source_key", "bucket"]
     d = d.withColumn("source_key", F.struct("source"))  # a key that holds null
     sums = (
@@ -71,7 +81,7 @@ def stream_positions(docs: DataFrame, per_bucket: int = 50_000) -> DataFrame:
     )
     inside = Window.partitionBy(*key).orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("start", F.sum("size").over(inside) - F.col("size")).join(sums, key)
-    return d.withColumn("start", F.col("start") + F.col("before")).drop("digest", "before", *key)
+    return d.withColumn("start", F.col("start") + F.col("before")).drop("digest", "before", *key).unionByName(empty)
 
 
 def slot_schedule(targets: DataFrame, block: int) -> DataFrame:
@@ -156,25 +166,27 @@ def mix_sources(
     weights: Sequence[float] = (3, 1, 2),
     share: float = 1.5,
     most: float = 2,
-    least_block: int = 16,
-    most_slots: int = 2**20,
+    block: int = BLOCK,
     carry: Sequence[str] = (),
 ) -> Mix:
     """Plans the mix of ``docs`` (doc_id, text, source, and the columns named in ``carry``).
 
     Sizes are word counts; a null or blank text has none and is never
-    taken.  A block holds ``least_block`` words, or as many as it takes for
-    ``most_slots`` slots to hold the mix: the schedule's precision is a few
-    millionths of the mix at any size, and its cost does not grow.  No
+    taken.  A block holds ``block`` words whatever the size of the corpus;
+    the last slot of a source stops at its target, rounded up to a word.  No
     document is taken more than ``most`` times (a whole number of passes).
-    Sources may be null; an empty table gives empty parts.
+    Sources may be null; an empty table gives empty parts.  Null and
+    repeated ids are spread by the text; rows that repeat id and text stand
+    next to each other and are taken alike.  A carried column must not have
+    one of the names size, digest, start, bucket and source_key.
     """
     if share > most or most != int(most):
         raise ValueError("share must not exceed most, a whole number")
-    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry), "mix-sizes")
+    if {c.lower() for c in carry} & {"size", "digest", "start", "bucket", "source_key", "doc_id", "source"}:
+        raise ValueError("a carried column clashes with the columns of the mix")
+    size, digest = word_count(F.col("text")).alias("size"), row_digest("doc_id", "text").alias("digest")
+    sized = written(docs.select("doc_id", "source", size, digest, *carry), "mix-sizes")
     targets = written(
         source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets"
     )
-    wanted = targets.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
-    block = max(least_block, math.ceil(wanted / most_slots))
     return Mix(stream_positions(sized), targets, slot_schedule(targets, block), block)

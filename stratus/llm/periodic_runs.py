@@ -285,7 +285,7 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     cut = rows.mapInArrow(_tiled, f"id {kind}, n_words long, text string, tiles array<struct<{TILE}>>")
-    cut = written(cut.withColumn("row", F.monotonically_increasing_id()), "runs-tiles")
+    cut = written(cut.withColumn("row", F.monotonically_increasing_id()), "runs-tiles", "zstd")
     tiles = cut.filter("tiles is not null").select("row", "n_words", F.explode("tiles").alias("t"))
     # each tile goes to a task of its own choice, wherever its document was read
     dealt = tiles.select("row", "n_words", "t.*").repartition(F.xxhash64("row", "octave", "start"))

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm.common import WHITE, free_name, id_digest
@@ -227,7 +227,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Forest:
     return Forest(prior, feature, cut, leaf)
 
 
-def held_out(id_col: str = "doc_id", folds: int = 5) -> F.Column:
+def held_out(id_col: str = "doc_id", folds: int = 5) -> Column:
     """Whether a row is kept from learning: crc32 of the id's text divides by ``folds``."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
@@ -286,3 +286,15 @@ def score_quality(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD,
     picked = docs.select(*carry) if "text" in carry else docs.select(*carry, "text")
     fields = ",".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return picked.mapInArrow(run, f"{fields}, {added[0]} double, {added[1]} int")
+
+
+def score_column(spark: SparkSession, forest: Forest, text: str = "text") -> Column:
+    """The score as a column: only the text goes to Python, only the score comes back, and no name is taken."""
+    shared = spark.sparkContext.broadcast(forest)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = [shared.value.score(features(texts.slice(at, 128))) for at in range(0, len(texts), 128)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    return score(F.col(text))

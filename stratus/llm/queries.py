@@ -21,7 +21,7 @@ ORACLE: dict[str, str] = {}
 
 # Production parameters
 SHARDS = 24
-MIX_WEIGHTS, MIX_SHARE, MIX_MOST, MIX_LEAST_BLOCK, MIX_SLOTS = (3, 1, 2), 1.5, 2, 16, 2**20
+MIX_WEIGHTS, MIX_SHARE, MIX_MOST = (3, 1, 2), 1.5, 2
 
 
 def query(name: str, sql: str | None = None):
@@ -60,7 +60,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- 2 mixing
 _MIX_SQL = f"""
-WITH sized AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+WITH sized AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size,
+        md5(coalesce(doc_id::VARCHAR, 'null') || '/' || md5(coalesce(text, ''))) AS h FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 s1 AS (SELECT *, ([3.0, 1.0, 2.0]::DOUBLE[])[((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::INT] AS weight FROM s0),
 s2 AS (SELECT *, 2.0::DOUBLE * source_size / weight AS fills_at FROM s1),
@@ -69,15 +70,19 @@ s3 AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
         / sum(weight) OVER (ORDER BY fills_at, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM s2),
 s4 AS (SELECT *, max(CASE WHEN lv <= fills_at THEN lv END) OVER () AS level FROM s3),
 t AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, level * weight) AS target FROM s4),
-p AS (SELECT greatest({MIX_LEAST_BLOCK}, ceil(coalesce(sum(target), 0) / {MIX_SLOTS}))::BIGINT AS block, coalesce(sum(target), 0) AS wanted FROM t),
+p AS (SELECT {mixing.BLOCK}::BIGINT AS block),
 u0 AS (SELECT t.*, floor(target / source_size)::BIGINT * ceil(source_size::DOUBLE / block)::BIGINT
         + ceil((target - floor(target / source_size) * source_size) / block)::BIGINT AS need FROM t, p WHERE target > 0),
 u AS (SELECT *, floor((sum(need) OVER (ORDER BY source ASC NULLS LAST))::DOUBLE / (sum(need) OVER ())::DOUBLE * 4294967296)::BIGINT AS hi FROM u0),
 v AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY source ASC NULLS LAST), 0) AS lo FROM u),
 slots AS (SELECT slot, (slot % 4294967296) * 2654435769 % 4294967296 AS point
         FROM (SELECT unnest(range((sum(need) + sum(need) // 50 + 16)::BIGINT)) AS slot FROM u0)),
-ranked AS (SELECT v.source, v.source_size, v.target, row_number() OVER (PARTITION BY v.source ORDER BY slot) - 1 AS rank
+served AS (SELECT v.source, v.source_size, v.target, row_number() OVER (PARTITION BY v.source ORDER BY slot) - 1 AS rank
         FROM slots JOIN v ON point >= lo AND point < hi),
+late AS (SELECT v.source, v.source_size, v.target, v.need::BIGINT AS need,
+        (SELECT count(*) FROM served s WHERE s.source IS NOT DISTINCT FROM v.source) AS n FROM v),
+ranked AS (SELECT * FROM served UNION ALL
+        SELECT source, source_size, target, unnest(range(n, need)) AS rank FROM late WHERE n < need),
 cut AS (SELECT source, rank % ceil(source_size::DOUBLE / block)::BIGINT AS block_no,
         least(block, source_size - (rank % ceil(source_size::DOUBLE / block)::BIGINT) * block,
               ceil(target)::BIGINT - (rank // ceil(source_size::DOUBLE / block)::BIGINT) * source_size
@@ -96,7 +101,7 @@ SELECT k.doc_id, k.size, t.source_size, t.target, k.taken, k.source FROM taken k
 @query("op2_mix_sources", _MIX_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix_sources(docs, MIX_WEIGHTS, MIX_SHARE, MIX_MOST, MIX_LEAST_BLOCK, MIX_SLOTS).taken()
+    return mixing.mix_sources(docs, MIX_WEIGHTS, MIX_SHARE, MIX_MOST).taken()
 
 
 # -------------------------------------------------------- 3 exact dedup

@@ -6,11 +6,15 @@ import math
 import random
 import zlib
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from stratus.llm import exact_dedup, mixing, sharding, url_filter
 from stratus.llm.common import word_count
+from stratus.llm.queries import ORACLE
+from tools.check_oracle import digest
 
 
 def lower(text):
@@ -121,7 +125,7 @@ def test_mix_reaches_targets(frame):
         s = rng.choice(["a", "a", "a", "b", "ü", "Z", None, "tiny"]) if d else "tiny"
         s = "a" if s == "tiny" and d else s
         rows.append((d, " ".join(["w"] * rng.choice([0, 1, 5, 60, 400])) if d % 50 else None, s))
-    mix = mixing.mix_sources(frame(rows, ", source string"), least_block=16)
+    mix = mixing.mix_sources(frame(rows, ", source string"), block=16)
     got = mix.taken().collect()
     assert len(got) == 600
     sizes = collections.Counter()
@@ -134,7 +138,7 @@ def test_mix_reaches_targets(frame):
         taken[r.source] += r.taken
     for s in sizes:
         assert abs(taken[s] - want[s]) <= 16 * 4, s
-    again = mixing.mix_sources(frame(rows, ", source string").repartition(5), least_block=16).taken()
+    again = mixing.mix_sources(frame(rows, ", source string").repartition(5), block=16).taken()
     assert sorted(map(str, again.collect())) == sorted(map(str, got))
     # pieces: whole spans, each slot holds one block at most
     pieces = mix.pieces().collect()
@@ -156,7 +160,7 @@ def test_small_sources_beside_a_big_one_reach_their_targets(frame):
     rows = [(d, "w " * 2000, "big") for d in range(100)]
     rows += [(1000 + i, "w " * rng.choice([300, 700, 1200]), f"s{i}") for i in range(300)]
     for weights, share in (((3, 1, 2), 1.5), ([3000] + [1] * 300, 0.5)):  # needs of 2 to 6 slots, and of 1
-        mix = mixing.mix_sources(frame(rows, ", source string"), weights, share, least_block=500)
+        mix = mixing.mix_sources(frame(rows, ", source string"), weights, share, block=500)
         target, taken = {}, collections.Counter()
         for r in mix.taken().collect():
             target[r.source] = r.target
@@ -166,6 +170,34 @@ def test_small_sources_beside_a_big_one_reach_their_targets(frame):
         assert len(slots) == len(set(slots))
 
 
+def test_mix_equals_its_sql_on_many_small_sources(spark, frame):
+    """Hundreds of sources that the points serve late, null and repeated ids, blank texts."""
+    rng = random.Random(9)
+    rows = [(d, "w " * 3000, "big") for d in range(30)]
+    rows += [(1000 + i, "v " * rng.choice([0, 40, 300, 700, 1200]), f"s{i:03d}") for i in range(400)]
+    rows += [(None, f"n{i} " * rng.choice([1, 90]), None) for i in range(120)] + [(7, None, "s000")]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"}))
+    want = con.execute(ORACLE["op2_mix_sources"]).df()
+    got = mixing.mix_sources(frame(rows, ", source string")).taken().toPandas()
+    assert sorted(got.columns) == sorted(want.columns) and len(got) == len(rows) and digest(got) == digest(want)
+    assert got["taken"].sum() == want["taken"].sum() > 0
+
+
+def test_mix_spreads_rows_that_share_an_id(frame):
+    """A null id on most rows: their places in the stream come from many buckets."""
+    rows = [(None, f"text {i} " * 3, "s") for i in range(400)]
+    docs = frame(rows, ", source string").select("doc_id", "source", word_count(F.col("text")).alias("size"), mixing.row_digest("doc_id", "text").alias("digest"))
+    placed = mixing.stream_positions(docs, per_bucket=10).collect()
+    assert sorted(r.start for r in placed) == list(range(0, 2400, 6))
+    assert len({r[0][0] for r in docs.select("digest").collect()}) == 16
+
+
+def test_mix_takes_no_clashing_columns(frame):
+    with pytest.raises(ValueError):
+        mixing.mix_sources(frame([], ", source string, size int"), carry=("size",))
+
+
 def test_mix_edges(frame):
     assert mixing.mix_sources(frame([], ", source string")).taken().count() == 0
     blank = mixing.mix_sources(frame([(1, None, "a"), (2, " ", None)], ", source string")).taken().collect()
