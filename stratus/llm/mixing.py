@@ -60,7 +60,7 @@ def row_digest(id_col: str, text_col: str) -> Column:
     return F.md5(F.concat(told, F.lit("/"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).cast("binary"))
 
 
-def stream_positions(docs: DataFrame, per_bucket: int = 50_000) -> DataFrame:
+def stream_positions(docs: DataFrame, per_bucket: int = 4096) -> DataFrame:
     """``docs`` (doc_id, source, size, digest, ...) with start: words of its source before it, in the order of the digests.
 
     A two-level sum: per (source, leading digits of the digest), then
