@@ -13,9 +13,11 @@ Run it from the command line:
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,6 +97,24 @@ def load_archive(
     )
 
 
+@contextmanager
+def shared_metadata(a: Archive) -> Iterator[Archive]:
+    """``a`` with its metadata tables persisted, for questions asked inside the scope; released at its end.
+
+    Most questions need the stations, and several the inventory and the
+    lookups; each file is then read once.  The tables are dimensions and
+    spill to disk where memory is short; the daily data is never persisted.
+    A lost executor's part is read again.
+    """
+    names = ("stations", "countries", "states", "inventory")
+    held = replace(a, **{n: getattr(a, n).persist(StorageLevel.MEMORY_AND_DISK) for n in names})
+    try:
+        yield held
+    finally:
+        for n in names:
+            getattr(held, n).unpersist()
+
+
 def analysis(
     a: Archive,
     country: str,
@@ -202,13 +222,14 @@ def main(argv: Sequence[str] | None = None) -> None:
         spark, args.daily, args.stations, args.countries, args.states, args.inventory, args.lake, args.convert,
         not args.no_daily_check,
     )
-    res = analysis(a, args.country, args.active_year)
-    paths, rows = write_outputs(res, args.out)
-    if args.reconcile:
-        reconcile_outputs(spark, paths, rows).show(truncate=False)
-    for key in ("parse_rejects", "station_summary", "territory_total", "core_element_counts", "tmin_without_tmax_stations",
-                "years_covered", "closest_pair", "rainfall_top"):
-        res[key].show(truncate=False)
+    with shared_metadata(a) as held:
+        res = analysis(held, args.country, args.active_year)
+        paths, rows = write_outputs(res, args.out)
+        if args.reconcile:
+            reconcile_outputs(spark, paths, rows).show(truncate=False)
+        for key in ("parse_rejects", "station_summary", "territory_total", "core_element_counts", "tmin_without_tmax_stations",
+                    "years_covered", "closest_pair", "rainfall_top"):
+            res[key].show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -385,10 +385,10 @@ def join_left_anti(spark, d):
 
 @query(
     "join_left_anti_distinct",
-    "SELECT DISTINCT ID FROM fx_station EXCEPT SELECT DISTINCT ID FROM fx_inventory",
+    "SELECT DISTINCT ID FROM fx_station EXCEPT SELECT DISTINCT ID FROM fx_obs",
 )
 def join_left_anti_distinct(spark, d):
-    return qa.orphan_keys(fx.fx_station(spark, d), fx.fx_inventory(spark, d), "ID", "ID")
+    return qa.orphan_keys(fx.fx_station(spark, d), fx.fx_obs(spark, d), "ID", "ID")
 
 
 @query(
@@ -795,8 +795,8 @@ def geo_country_pairs(spark, d):
 FROM fx_station a JOIN fx_station b ON substr(a.ID, 1, 2) = substr(b.ID, 1, 2) AND a.ID < b.ID GROUP BY 1""",
 )
 def geo_all_country_pairs(spark, d):
-    p = pr.country_pairs(stn.with_country_code(fx.fx_station(spark, d)))
-    return p.groupBy("COUNTRY_CODE").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.min("distance_km"), 6).alias("nearest_km"))
+    p = pr.pair_summary(stn.with_country_code(fx.fx_station(spark, d)))
+    return p.select("COUNTRY_CODE", "pairs", r6("nearest_km").alias("nearest_km"))
 
 
 @query(

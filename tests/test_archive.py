@@ -111,3 +111,33 @@ def test_archive_job_on_a_streamed_lake(spark):
     country = pair.agg(F.max("COUNTRY_CODE")).first()[0]
     out, rows = ar.write_outputs(ar.analysis(a, country, 2001, core=INV_CORE), f"{base}/out")
     assert all(r.ok for r in ar.reconcile_outputs(spark, out, rows).collect()) and rows["country_tmin_tmax"] > 0
+
+
+def test_shared_metadata_is_read_once_and_released(spark):
+    """Inside the scope the files may be gone: every question works on the tables that were read first."""
+    base = tempfile.mkdtemp(prefix="stratus-shared-")
+    paths = dict(
+        stations=_write_text(render_fixed_width(fx.fx_station(spark, SF), STATION_LAYOUT), f"{base}/stations"),
+        countries=_write_text(render_fixed_width(fx.fx_country(spark, SF), COUNTRY_LAYOUT), f"{base}/countries"),
+        states=_write_text(render_fixed_width(fx.fx_state(spark, SF), STATE_LAYOUT), f"{base}/states"),
+        inventory=_write_text(render_fixed_width(fx.fx_inventory(spark, SF), INVENTORY_LAYOUT), f"{base}/inventory"),
+        daily=write_daily_archive(fx.fx_obs_l(spark, SF), f"{base}/daily", by_year=False),
+    )
+    a = ar.load_archive(spark, check_daily=False, **paths)
+    want = ar.analysis(a, "07", 2001, core=INV_CORE)["enriched_stations"].collect()
+    kept = len(spark.sparkContext._jsc.getPersistentRDDs())
+    with ar.shared_metadata(a) as held:
+        res = ar.analysis(held, "07", 2001, core=INV_CORE)
+        for name in ("stations", "countries", "states", "inventory"):
+            getattr(held, name).count()
+            for f in os.listdir(paths[name]):
+                if f.startswith("part-"):
+                    with open(f"{paths[name]}/{f}", "w") as out:
+                        out.write("changed behind our back")
+        assert sorted(map(str, res["enriched_stations"].collect())) == sorted(map(str, want))
+        plan = res["enriched_stations"]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("InMemoryTableScan") >= 4
+        ar.write_outputs(res, f"{base}/out")
+        assert len(spark.sparkContext._jsc.getPersistentRDDs()) == kept + 4
+        assert res["stations_per_state"].agg(F.sum("STATION_NUM_STATE")).first()[0] > 0
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == kept
