@@ -194,8 +194,9 @@ def near_lines(keyed: DataFrame, lines: DataFrame, places: DataFrame) -> DataFra
     v = written(emitted.join(shared, "variant").join(places.select("k1", "place"), "k1"), "line-shared-variants")
     first = F.min(F.struct("place", "k1"))
     by_gap = written(v.filter("gap >= 0").groupBy("variant", "gap").agg(first.alias("first")), "line-by-gap")
-    whole = v.filter("gap < 0").groupBy("variant").agg(first.alias("first"))
-    any_gap = by_gap.groupBy("variant").agg(F.min("first").alias("first"))
+    # written, so that Spark can split a variant that very many lines share
+    whole = written(v.filter("gap < 0").groupBy("variant").agg(first.alias("first")), "line-whole")
+    any_gap = written(by_gap.groupBy("variant").agg(F.min("first").alias("first")), "line-any-gap")
     found = (
         v.join(by_gap, ["variant", "gap"])
         .unionByName(v.filter("gap >= 0").join(whole, "variant"))
