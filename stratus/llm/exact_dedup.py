@@ -62,6 +62,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     split = digests.join(F.broadcast(winners), "text_sha256", "left")
     frequent = split.filter(F.col("group_size").isNotNull())
     rest = split.filter(F.col("group_size").isNull()).select("doc_id", "text_sha256")
-    rest = rest.join(rest.groupBy("text_sha256").agg(*totals), "text_sha256")
+    # a join of two scans: Spark can split a digest that many rows share, though not as many as the frequent ones
+    sizes = written(rest.groupBy("text_sha256").agg(*totals), "dedup-sizes")
+    rest = rest.join(sizes, "text_sha256")
     cols = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"]
     return frequent.select(*cols).unionByName(rest.select(*cols))
