@@ -17,6 +17,7 @@ from collections.abc import Iterator, Mapping
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from stratus.llm.license_names import GNU_FAMILIES, VERSION_ENDINGS, exceptions, titles
 from stratus.llm.words import slices
 
 # The contract's base phrases and their labels
@@ -43,12 +44,17 @@ NOTICES = {
 TAG = "spdx license identifier"
 # How restrictive a label is: the first prefix that fits counts, any other licence OTHER
 LEVELS = [
-    ("reserved", 1.0), ("cc-by-nc", 0.9), ("cc-by-nd", 0.9), ("agpl", 0.8), ("lgpl", 0.5), ("gpl", 0.7), ("cc-by-sa", 0.6),
-    ("mpl", 0.4), ("epl", 0.4), ("cc-by", 0.2), ("apache", 0.1), ("bsd", 0.1), ("mit", 0.1), ("isc", 0.1), ("cc0", 0.0),
-    ("public-domain", 0.0), ("unlicense", 0.0),
+    ("reserved", 1.0), ("cc-by-nc", 0.9), ("cc-by-nd", 0.9), ("busl", 0.9), ("sspl", 0.9), ("agpl", 0.8), ("lgpl", 0.5),
+    ("gpl", 0.7), ("cc-by-sa", 0.6), ("odbl", 0.6), ("osl", 0.6), ("eupl", 0.6), ("mpl", 0.4), ("epl", 0.4), ("cddl", 0.4),
+    ("cc-by", 0.2), ("ofl", 0.2), ("apache", 0.1), ("bsd", 0.1), ("bsl", 0.1), ("mit", 0.1), ("isc", 0.1), ("zlib", 0.1),
+    ("x11", 0.1), ("ncsa", 0.1), ("postgresql", 0.1), ("psf", 0.1), ("upl", 0.1), ("0bsd", 0.0), ("cc0", 0.0), ("pddl", 0.0),
+    ("public-domain", 0.0), ("unlicense", 0.0), ("wtfpl", 0.0),
 ]
 OTHER = 0.5
 BROKEN = "broken-expression"
+# In front of an identifier that the list of licences does not hold
+UNKNOWN = "unknown:"
+_TITLES, _EXCEPTIONS = titles(), exceptions()
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\n\r]*)", re.IGNORECASE)
@@ -105,7 +111,28 @@ class Automaton:
                 yield i - n + 1, phrase
 
 
+def known(identifier: str) -> bool:
+    """Whether an identifier is in the list, names a version of a GNU licence in it, or is a reference of the text's own."""
+    name = identifier.lower()
+    if name.startswith(("licenseref-", "documentref-")):
+        return True
+    if name.startswith(GNU_FAMILIES):
+        name = next((name.removesuffix(e) for e in VERSION_ENDINGS if name.endswith(e)), name)
+    return name.removesuffix("+") in _TITLES
+
+
+def phrases() -> dict[str, str]:
+    """Notice phrases and their labels: this scanner's own, and the titles of the list (two words or more)."""
+    found = {}
+    for name, title in _TITLES.items():
+        phrase = b" ".join(words_of(title.encode())).decode()
+        if " " in phrase and phrase not in BASE:
+            found.setdefault(phrase, name)
+    return found | NOTICES
+
+
 def level_of(licence: str) -> float:
+    """How restrictive a label of this scanner or a known licence is."""
     name = licence.lower()
     return next((x for prefix, x in LEVELS if name.startswith(prefix)), OTHER)
 
@@ -113,14 +140,17 @@ def level_of(licence: str) -> float:
 def evaluate(expression: str) -> tuple[set[str], float]:
     """The licences of a tag's expression (lower case) and how restrictive it is.
 
-    ``a AND b`` is as restrictive as the worse, ``a OR b`` as the better; an
-    exception (``a WITH e``) halves its licence.  A malformed expression has
-    the licences it names, the label ``broken-expression`` and the worst
-    level among them (OTHER if it names none).
+    ``a AND b`` is as restrictive as the worse, ``a OR b`` as the better; a
+    known exception (``a WITH e``) halves its licence.  An identifier that is
+    not in the list is labelled ``unknown:`` and its name, and counts as
+    OTHER.  A malformed expression has the licences it names, the label
+    ``broken-expression`` and the worst level among them (OTHER if it names
+    none).
     """
     out: list[tuple] = []
     ops: list[str] = []
     named: set[str] = set()
+    worst: list[float] = []
 
     def reduce() -> None:
         op = ops.pop()
@@ -130,7 +160,7 @@ def evaluate(expression: str) -> tuple[set[str], float]:
         if op == "WITH":
             if b[0] != "exception":
                 raise ValueError("no exception")
-            out.append(("licence", a[1] / 2))
+            out.append(("licence", a[1] / 2 if b[1] else a[1]))
         else:
             out.append(("licence", max(a[1], b[1]) if op == "AND" else min(a[1], b[1])))
 
@@ -160,10 +190,17 @@ def evaluate(expression: str) -> tuple[set[str], float]:
             else:
                 if after_value:
                     raise ValueError("two values")
-                exception = bool(ops) and ops[-1] == "WITH"
-                if not exception:
-                    named.add(tok.lower())
-                out.append(("exception" if exception else "licence", level_of(tok)))
+                name = tok.lower()
+                if ops and ops[-1] == "WITH":
+                    in_list = name in _EXCEPTIONS
+                    named |= set() if in_list else {UNKNOWN + name}
+                    out.append(("exception", in_list))
+                else:
+                    in_list = known(name)
+                    level = level_of(name) if in_list else OTHER
+                    named.add(name if in_list else UNKNOWN + name)
+                    worst.append(level)
+                    out.append(("licence", level))
                 after_value = True
         if not after_value:
             raise ValueError("ends early")
@@ -173,10 +210,10 @@ def evaluate(expression: str) -> tuple[set[str], float]:
             raise ValueError("values left")
         return named, out[0][1]
     except (ValueError, IndexError):
-        return named | {BROKEN}, max(map(level_of, named), default=OTHER)
+        return named | {BROKEN}, max(worst, default=OTHER)
 
 
-def scan_text(text: bytes, automaton: Automaton) -> tuple:
+def scan_text(text: bytes, automaton: Automaton, notices: Mapping[str, str] = NOTICES) -> tuple:
     """n_words, n_base, first_word, last_word, base_labels, labels, score of one text."""
     words = words_of(text)
     base, found, score, first, last, n = set(), set(), 0.0, None, None, 0
@@ -192,7 +229,7 @@ def scan_text(text: bytes, automaton: Automaton) -> tuple:
             last = at if last is None else max(last, at)
             base.add(label)
         else:
-            label = NOTICES[phrase]
+            label = notices[phrase]
         found.add(label)
         score = max(score, level_of(label))
     if tagged:
@@ -221,9 +258,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton({**BASE, **NOTICES, TAG: None})
+        notices = phrases()
+        automaton = Automaton({**BASE, **notices, TAG: None})
         for b in slices(batches):
-            rows = [scan_text(t or b"", automaton) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            rows = [scan_text(t or b"", automaton, notices) for t in b.column(1).cast(pa.binary()).to_pylist()]
             out = [pa.array(c, f.type) for c, f in zip(zip(*rows), _OUT)]
             yield pa.RecordBatch.from_arrays([b.column(0), *out], [id_col, *(f.name for f in _OUT)])
 

@@ -1,0 +1,157 @@
+"""op10 against plain versions: statistics by loops over words, splits by trying every cut, trees walked node by node."""
+
+import math
+import random
+import re
+import string
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from stratus.llm import quality
+
+PUNCT = set(string.punctuation) - set(".,!|")
+BLANK = set("\t\x0b\x0c\r ")
+
+
+def kind(c):
+    """The class of one byte."""
+    if c >= 128:
+        return "other"
+    s = chr(c)
+    if s.islower():
+        return "lower"
+    if s.isupper():
+        return "upper"
+    if s.isdigit():
+        return "digit"
+    if s in BLANK:
+        return "white"
+    named = {"\n": "line", ".": "stop", ",": "comma", "!": "bang", "|": "pipe"}
+    return named.get(s) or ("punct" if s in PUNCT else "control")
+
+
+KINDS = ["other", "lower", "upper", "digit", "white", "line", "stop", "comma", "bang", "pipe", "punct", "control"]
+
+
+def plain_statistics(text):
+    data = (text or "").encode()
+    kinds = [kind(c) for c in data]
+    words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+    size, n = max(len(data), 1), max(len(words), 1)
+    shouted = symbol = capital = short = long = 0
+    for w in words:
+        of = [kind(c) for c in w]
+        capital += of[0] == "upper"
+        shouted += of.count("upper") >= 2 and 2 * of.count("upper") >= len(w)
+        symbol += any(k in ("punct", "bang", "pipe", "control") for k in of)
+        short += len(w) <= 3
+        long += len(w) >= 12
+    echoes = sum(a == b for a, b in zip(words, words[1:]))
+    inside = sum(k not in ("white", "line") for k in kinds)
+    distinct = len(set(words))
+    return [
+        math.log1p(len(data)), math.log1p(len(words)), inside / n, *[kinds.count(k) / size for k in KINDS],
+        capital / n, shouted / n, symbol / n, echoes / n, short / n, long / n, distinct / n, distinct / max(math.sqrt(len(words)), 1),
+    ]
+
+
+def texts_of(seed, n=120):
+    rnd = random.Random(seed)
+    alphabet = "abcXYZ019 \t\n\r\x0b.,!|#-é漢\x01"
+    return [None, "", " ", "a", "AA", "\n"] + ["".join(rnd.choice(alphabet) for _ in range(rnd.choice((1, 7, 60, 500)))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_statistics_equal_a_plain_count(seed):
+    texts = texts_of(seed)
+    assert quality.features(pa.array(texts)) == pytest.approx(np.array([plain_statistics(t) for t in texts]))
+
+
+def test_statistics_of_long_texts_equal_a_plain_count(monkeypatch):
+    """Texts that are counted in parts, one word longer than a part among them."""
+    monkeypatch.setattr(quality, "_PART", 200)
+    texts = ["same words same words " * 60, "x" * 1000 + " tail tail", "AB " * 300 + "é" * 350 + " end", *texts_of(3, 30)]
+    assert quality.features(pa.array(texts)) == pytest.approx(np.array([plain_statistics(t) for t in texts]))
+
+
+def plain_fit(x, y, rounds, depth, bins, rate, ridge, least):
+    """Boosting with every cut of every node tried in a loop: per round a dict node -> (feature, cut) and leaf values."""
+    share = (y.sum() + 0.5) / (len(y) + 1)
+    prior = math.log(share / (1 - share))
+    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
+    margin, trees = np.full(len(y), prior), []
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = p - y, p * (1 - p)
+        value = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + ridge)
+        splits, leaves, nodes = {}, {}, {0: np.arange(len(y))}
+        for node in range(2**depth - 1):
+            rows = nodes[node]
+            best, found = 1e-9, None
+            for j in range(x.shape[1]):
+                for cut in edges[j]:
+                    left, right = rows[x[rows, j] <= cut], rows[x[rows, j] > cut]
+                    if h[left].sum() < least or h[right].sum() < least:
+                        continue
+                    gain = value(left) + value(right) - value(rows)
+                    if gain > best * (1 + 1e-12) + 1e-12:
+                        best, found = gain, (j, cut)
+            splits[node] = found
+            goes_right = x[rows, found[0]] > found[1] if found else np.zeros(len(rows), bool)
+            nodes[2 * node + 1], nodes[2 * node + 2] = rows[~goes_right], rows[goes_right]
+        for leaf in range(2**depth - 1, 2 ** (depth + 1) - 1):
+            rows = nodes[leaf]
+            leaves[leaf] = -rate * g[rows].sum() / (h[rows].sum() + ridge)
+            margin[rows] += leaves[leaf]
+        trees.append((splits, leaves))
+    return prior, trees
+
+
+def plain_score(prior, trees, row, depth):
+    margin = prior
+    for splits, leaves in trees:
+        node = 0
+        for _ in range(depth):
+            found = splits[node]
+            node = 2 * node + 1 + bool(found and row[found[0]] > found[1])
+        margin += leaves[node]
+    return 1 / (1 + math.exp(-margin))
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_trees_equal_boosting_by_loops(monkeypatch, seed):
+    for name, v in (("ROUNDS", 4), ("DEPTH", 3), ("BINS", 8)):
+        monkeypatch.setattr(quality, name, v)
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(300, 4))
+    x[:, 3] = rng.integers(0, 3, 300)  # few distinct values
+    y = ((x[:, 0] > 0.3) ^ (x[:, 3] > 1) ^ (rng.random(300) < 0.1)).astype(float)
+    forest = quality.fit(x, y)
+    prior, trees = plain_fit(x, y, 4, 3, 8, quality.RATE, quality.RIDGE, quality.LEAST_WEIGHT)
+    new = rng.normal(size=(200, 4))
+    for rows in (x, new):
+        assert forest.score(rows) == pytest.approx([plain_score(prior, trees, r, 3) for r in rows])
+
+
+def test_flat_traversal_equals_walking_nodes():
+    rng = np.random.default_rng(5)
+    feature, cut, leaf = rng.integers(0, 6, (9, 15)), rng.normal(size=(9, 15)), rng.normal(size=(9, 16))
+    forest = quality.Forest(0.25, feature, cut, leaf)
+    trees = [({i: (int(f[i]), c[i]) for i in range(15)}, {15 + i: v[i] for i in range(16)}) for f, c, v in zip(feature, cut, leaf)]
+    x = rng.normal(size=(400, 6))
+    x[0] = cut[0, 0]  # a value on the cut goes left
+    assert forest.score(x) == pytest.approx([plain_score(0.25, trees, r, 4) for r in x])
+    assert len(forest.score(x[:0])) == 0
+
+
+def test_score_column_equals_score_quality(spark):
+    docs = spark.createDataFrame(list(enumerate(texts_of(7))), "doc_id long, text string").withColumn("score", quality.F.lit("x"))
+    rng = np.random.default_rng(0)
+    x = quality.features(pa.array(texts_of(8)))
+    forest = quality.fit(x, (rng.random(len(x)) < 0.5).astype(float))
+    want = {r.doc_id: r.score for r in quality.score_quality(docs, forest).collect()}
+    got = {r.doc_id: r.s for r in docs.select("doc_id", quality.score_column(spark, forest).alias("s")).collect()}
+    assert got == want and len(got) == len(texts_of(7))
+    assert docs.limit(0).select(quality.score_column(spark, forest)).collect() == []

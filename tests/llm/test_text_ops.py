@@ -191,6 +191,34 @@ def test_tags_and_overlapping_phrases():
     assert set(naive.places(text)) == want
 
 
+@pytest.mark.parametrize(
+    "expression, labels, level",
+    [
+        ("mitre-1.0", {"unknown:mitre-1.0"}, 0.5),
+        ("MIT OR mitre", {"mit", "unknown:mitre"}, 0.1),
+        ("GPL-3.0-or-later AND LGPL-2.1+", {"gpl-3.0-or-later", "lgpl-2.1+"}, 0.7),
+        ("MIT-only", {"unknown:mit-only"}, 0.5),
+        ("LicenseRef-Own", {"licenseref-own"}, 0.5),
+        ("GPL-2.0 WITH My-exception", {"gpl-2.0", "unknown:my-exception"}, 0.7),
+        ("(bsl-1.0", {"bsl-1.0", "broken-expression"}, 0.1),
+    ],
+)
+def test_identifiers_are_matched_exactly(expression, labels, level):
+    named, score = license_scan.evaluate(expression)
+    assert named == labels and score == pytest.approx(level)
+
+
+def test_titles_are_notices(frame):
+    """Every title of the list, in a text of its own, gives its identifier; the base columns stay a plain search's."""
+    listed = license_scan.titles()
+    assert len(listed) > 80 and all(license_scan.known(x) for x in listed)
+    rows = [(i, f"Under the {t.upper()}, see below.") for i, t in enumerate(listed.values())]
+    for r in license_scan.scan_licenses(frame(rows)).collect():
+        name, label = list(listed)[r.doc_id], set(r.labels.split(","))
+        assert name in label or len(license_scan.words_of(listed[name].encode())) < 2 or label & set(license_scan.NOTICES.values())
+        assert (r.doc_id, *list(r)[1:6]) == (r.doc_id, *scan_brute(rows[r.doc_id][1]))
+
+
 # ---------------------------------------------------------- classifier
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
