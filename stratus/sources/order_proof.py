@@ -78,20 +78,23 @@ def file_parts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return parts.select("file", "block", "n_rows", "ascending", *ends)
 
 
-def disorders(parts: DataFrame) -> DataFrame:
-    """The parts whose keys do not ascend, or whose first key comes before the last one of the part before.
+def _compared(parts: DataFrame) -> DataFrame:
+    """``parts`` with the last key of the part before, and whether a part stands wrong.
 
     One small row per file part meets its neighbour; no row is sorted.
     """
     before = F.lag("last").over(Window.orderBy("file", "block"))
-    marked = parts.withColumn("before", before).withColumn("after_neighbour", F.coalesce(F.col("first") >= F.col("before"), F.lit(True)))
-    return marked.filter(~F.col("ascending") | ~F.col("after_neighbour"))
+    follows = F.coalesce(F.col("first") >= F.col("before"), F.lit(True))
+    return parts.withColumn("before", before).withColumn("wrong", ~F.col("ascending") | ~follows)
+
+
+def disorders(parts: DataFrame) -> DataFrame:
+    """The parts whose keys do not ascend, or whose first key comes before the last one of the part before."""
+    return _compared(parts).filter("wrong").drop("wrong")
 
 
 def order_proof(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: data_rows, and whether all files together are in the order of the keys."""
-    parts = file_parts(rows, keys)
-    bad = disorders(parts).agg(F.count(F.lit(1)).alias("bad"))
-    total = parts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("data_rows"))
-    one = F.lit(1)
-    return total.withColumn("_j", one).join(bad.withColumn("_j", one), "_j").select("data_rows", (F.col("bad") == 0).alias("in_order"))
+    found = _compared(file_parts(rows, keys))
+    total = F.coalesce(F.sum("n_rows"), F.lit(0)).alias("data_rows")
+    return found.agg(total, (F.count_if("wrong") == 0).alias("in_order"))
