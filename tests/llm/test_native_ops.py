@@ -97,6 +97,26 @@ def test_shard_edges(frame):
         sharding.shard_rows(frame([]), [0.0])
 
 
+def test_shards_of_ids_that_repeat(spark):
+    """A third of the rows have a null id, as many the id 7: gapless slots in the digests' order, from small buckets."""
+    df = spark.range(3000).selectExpr("case id % 3 when 0 then null when 1 then 7 else id end as doc_id", "id as row")
+    for grown in ([1.0] * 5, [2.0, 1.0, 1.0, 1.0, 1.0], [1.0] * 3):  # one more shard, other weights, one less
+        rows = sharding.shard_rows(df, [1.0] * 4, grown, per_bucket=20).collect()
+        assert sorted(r.row for r in rows) == list(range(3000))
+        for r in rows[::97]:
+            key = "null" if r.doc_id is None else r.doc_id
+            assert (r["shard"], r.grown_shard) == (rendezvous(key, [1.0] * 4), rendezvous(key, grown))
+        for s in range(4):
+            of = sorted((r.slot, hashlib.md5(str("null" if r.doc_id is None else r.doc_id).encode()).hexdigest()) for r in rows if r["shard"] == s)
+            assert [slot for slot, _ in of] == list(range(len(of))) and [d for _, d in of] == sorted(d for _, d in of)
+    own = F.lpad(F.hex(F.xxhash64("row")), 16, "0")
+    placed = df.select("doc_id", F.lit(0).alias("shard"), F.concat(sharding.id_digest("doc_id"), own).alias("order"))
+    rows, sizes = sharding.labelled(placed, "shard", "order", 1, 20, ("label", "n", "wide"))
+    got = {r.label: r.n for r in sizes.collect()}
+    assert got == {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    assert sum(got.values()) == 3000 and max(got.values()) <= 4 * 20
+
+
 # --------------------------------------------------------------- mixing
 def test_word_count(frame):
     texts = [None, "", " ", "a", " a", "a ", "\ta\x0bb\r\n c ", "é b", "a\n"]
