@@ -253,10 +253,12 @@ def _emit(width: int, percent: int, hot: int):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2**17) -> Iterator[list[np.ndarray]]:
+def _runs(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2**17, split: bool = False) -> Iterator[list[np.ndarray]]:
     """The columns of a sorted partition in parts that end where the value of ``column`` does.
 
-    A task holds one part at a time, however large its partition is.
+    A task holds one part at a time, however large its partition is; with
+    ``split``, however often a value comes: one that fills a part goes on in
+    the next.
     """
     held: list[pa.RecordBatch] = []
     n = 0
@@ -277,6 +279,8 @@ def _runs(batches: Iterator[pa.RecordBatch], column: int, rows: int = 2**17) ->
             columns = part(0)
             if len(columns[0]):
                 yield columns
+            elif split:
+                yield part(None)
             most = max(rows, 2 * n)
     if n:
         yield part(None)
@@ -287,17 +291,28 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Grouped rows: those of hashes that two documents share, and how many
     share them.  Sets: the smallest document of equal sets in place of sig,
-    the size in place of meta.
+    the size in place of meta.  Of a hash that fills more than a part, each
+    row's number is what was counted up to the end of its part: enough to
+    be dear, which is all that the number decides beyond 1.  Equal sets that
+    fill more than a part keep one document per part; these meet later.
     """
-    for columns in _runs(batches, 0):
-        yield _shared_part(*columns)
+    last, before = 0, 0
+    for columns in _runs(batches, 0, split=True):
+        sig, n, kind = columns[0], columns[3], columns[4]
+        before = before if sig[0] == last else 0
+        yield _shared_part(*columns, before)
+        before = (before if sig[0] == sig[-1] else 0) + int(n[(sig == sig[-1]) & (kind == _GROUPED)].sum(dtype=np.int64))
+        last = sig[-1]
 
 
-def _shared_part(sig: np.ndarray, doc: np.ndarray, meta: np.ndarray, n: np.ndarray, kind: np.ndarray) -> pa.RecordBatch:
+def _shared_part(sig: np.ndarray, doc: np.ndarray, meta: np.ndarray, n: np.ndarray, kind: np.ndarray, before: int) -> pa.RecordBatch:
+    """``before``: rows of the first hash in earlier parts."""
     n = n.astype(np.int64)
     at = np.flatnonzero(kind == _GROUPED)
     first = np.flatnonzero(np.concatenate([[True], sig[at][1:] != sig[at][:-1]])) if len(at) else at
     total = np.add.reduceat(n[at], first) if len(at) else at
+    if len(at) and sig[at[0]] == sig[0]:
+        total[0] += before
     cost = np.repeat(total, np.diff(np.append(first, len(at))))
     keep = (cost > 1) & (meta[at] >= 0)
     at, cost = at[keep], cost[keep]

@@ -202,3 +202,36 @@ def test_runs_never_split_a_value():
     assert np.array_equal(np.concatenate([p[1] for p in parts]), np.arange(len(key)))
     assert len(parts) > 5 and all(a[0][-1] != b[0][0] for a, b in zip(parts, parts[1:]))
     assert list(nj._runs(iter([]), 0)) == []
+
+
+@pytest.mark.parametrize("rows", [7, 50])
+def test_shared_holds_parts_of_a_hot_hash(monkeypatch, rows):
+    """Hashes with a third of the rows pass in parts: none of their rows is lost, other hashes stay as they are."""
+    import pyarrow as pa
+
+    texts = [(d, f"{'tale ' * (d % 3 == 0)}" + " ".join(f"w{d % 5 and d}_{i}" if i % 40 == 7 else f"b{i}" for i in range(60 if d % 3 else 6))) for d in range(120)]
+    batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in texts], pa.int64()), pa.array([t for _, t in texts])], ["doc", "text"])
+    emitted = pa.Table.from_batches(nj._emit(5, 80, 10**6)(iter([batch]))).sort_by("sig")
+    batches = emitted.combine_chunks().to_batches(max_chunksize=5)
+
+    def shared():
+        table = pa.Table.from_batches(nj._shared(iter(batches)))
+        return table, sorted(zip(*(table[c].to_pylist() for c in ("kind", "doc", "meta", "sig")), table["cost"].to_pylist()))
+
+    whole, want = shared()
+    runs, sizes = nj._runs, []
+
+    def small(b, column, split=False):
+        for part in runs(b, column, rows, split):
+            sizes.append(len(part[0]))
+            yield part
+
+    monkeypatch.setattr(nj, "_runs", small)
+    _, got = shared()
+    hot = max(cost for *_, cost in want)
+    assert hot > 70 and max(sizes) <= 2 * rows + 10
+    grouped = lambda found: [r[:4] for r in found if r[0] == nj._GROUPED]
+    assert grouped(got) == grouped(want)
+    assert all(1 < r[4] <= w[4] for r, w in zip(got, want) if r[0] == nj._GROUPED)
+    same = lambda found: {(r[1], r[2]) for r in found if r[0] == nj._SET}
+    assert same(got) == same(want)  # every document, with its size
