@@ -1,4 +1,4 @@
-"""Queries on what a lake's keeper needs: content checks, order proofs, listings, zone maps and samples.
+"""Queries on what a lake's keeper needs: content checks, order proofs, listings, zone maps, samples and previews.
 
 Like ``mechanisms``: registered next to the questions, over the same
 whole tables, each with its own SQL.
@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.operators import observations as ob
+from stratus.operators import pairs as pr
+from stratus.operators import preview as pv
 from stratus.operators import sampling as sa
 from stratus.operators import stations as stn
+from stratus.operators.joins import lookup_join
 from stratus.plans import fixtures as fx
-from stratus.plans.queries import PAIR_COUNTRY, SQL_COUNTRY_TT, query, r6
+from stratus.plans.queries import PAIR_COUNTRY, SQL_COUNTRY_TT, SUBSET_SIZE, hav_sql, query, r6
 from stratus.session import output_path
 from stratus.sources import fingerprint as fp
 from stratus.sources import zones as zo
@@ -21,7 +24,7 @@ from stratus.sources.daily import write_daily_archive
 from stratus.sources.lake import write_observation_lake
 from stratus.sources.listing import folder_totals, list_folder
 from stratus.sources.order_proof import order_proof
-from stratus.sources.sinks import write_sorted
+from stratus.sources.sinks import write_csv, write_sorted
 
 PER_COUNTRY = 3
 
@@ -86,3 +89,35 @@ def src_full_listing(spark, d):
         touch(spark, f"{base}/{folder.path}/late.csv")
     totals = folder_totals(list_folder(spark, base).filter(~F.col("hidden")))
     return totals.select("folder", "files", "empty_files", (F.col("bytes") > 0).alias("sized"))
+
+
+PREVIEW_COLUMNS, PREVIEW_ROWS, PREVIEW_WIDTH = ("ID", "NAME", "STATE", "STATE_NAME", "GFLAG", "WMOID"), 20, 12
+
+
+def _cell_sql(column: str, width: int) -> str:
+    text = f"coalesce({column}, 'NULL')"
+    return f"CASE WHEN length({text}) > {width} THEN substr({text}, 1, {width - 3}) || '...' ELSE {text} END AS {column}"
+
+
+@query(
+    "preview_stations",
+    f"""SELECT {", ".join(_cell_sql(c, PREVIEW_WIDTH) for c in PREVIEW_COLUMNS)} FROM (
+SELECT s.*, t.STATE_NAME FROM fx_station s LEFT JOIN fx_state t ON s.STATE = t.CODE ORDER BY s.ID LIMIT {PREVIEW_ROWS}) p""",
+)
+def preview_stations(spark, d):
+    named = lookup_join(fx.fx_station(spark, d), fx.fx_state(spark, d).withColumnRenamed("CODE", "STATE"), "STATE")
+    return pv.preview(named.select(*PREVIEW_COLUMNS), ["ID"], PREVIEW_ROWS, PREVIEW_WIDTH)
+
+
+@query(
+    "proj_slash_name",
+    f"""WITH sub AS (SELECT ID, LATITUDE, LONGITUDE FROM fx_station ORDER BY ID LIMIT {SUBSET_SIZE})
+SELECT a.ID, b.ID AS ID_1, round({hav_sql('a.LATITUDE', 'a.LONGITUDE', 'b.LATITUDE', 'b.LONGITUDE')}, 6) AS "Distance/km"
+FROM sub a JOIN sub b ON a.ID <> b.ID""",
+)
+def proj_slash_name(spark, d):
+    """Written as CSV with the slash in its header, read back by that name, and sorted by it in another case."""
+    subset = fx.fx_station(spark, d).orderBy("ID").limit(SUBSET_SIZE)
+    path = write_csv(pr.distance_report(pr.ordered_pairs(subset)), output_path(spark, "distances-csv"))
+    back = spark.read.option("header", "true").schema("ID string, ID_1 string, `Distance/km` double").csv(path)
+    return back.orderBy("DISTANCE/km", "ID", "ID_1")

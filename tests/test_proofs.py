@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from stratus.operators import preview as pv
 from stratus.operators import sampling as sa
 from stratus.plans import fixtures as fx
 from stratus.plans import proofs as pf
@@ -186,6 +187,28 @@ def test_samples_do_not_depend_on_partitions_and_merge(spark):
     assert plan.count("WindowGroupLimit") == 2 and plan.rindex("WindowGroupLimit") > plan.index("Exchange")
 
 
+# ------------------------------------------------- previews, column names
+def test_preview_is_what_a_console_shows(spark, capsys):
+    rows = [(i, "x" * (i + 16) if i % 4 else None, None if i == 3 else i / 4) for i in range(30, 0, -1)]
+    df = spark.createDataFrame(rows, "`a.key` long, `b/text` string, `c``d` double").repartition(5)
+    first = pv.preview(df, ["a.key"], 7)
+    assert first.columns == df.columns
+    df.orderBy("`a.key`").show(7)
+    shown = [[c.strip() for c in line.split("|")[1:-1]] for line in capsys.readouterr().out.splitlines() if line.startswith("|")][1:]
+    assert [list(r) for r in first.collect()] == shown and len(shown) == 7
+    assert "TakeOrderedAndProject" in final_plan(pv.preview(df, ["a.key"], 7))
+    assert pv.preview(df.limit(0), ["a.key"]).count() == 0
+    assert pv.preview(df, ["a.key"], 1, 2).first()["b/text"] == "xx"
+
+
+def test_slash_in_a_name_is_found_in_any_case(spark):
+    near = E.queries()["proj_slash_name"](spark, SF)
+    assert near.columns == ["ID", "ID_1", "Distance/km"]
+    rows = [tuple(r) for r in near.collect()]
+    assert rows == sorted(rows, key=lambda r: (r[2], r[0], r[1])) and len(rows) == pf.SUBSET_SIZE * (pf.SUBSET_SIZE - 1)
+    assert near.filter(F.col("DISTANCE/KM") >= rows[4][2]).count() == len(rows) - 4
+
+
 @pytest.mark.parametrize("key", ["sink_reconcile_content", "sink_sorted_proof", "src_full_listing"])
 def test_queries_have_rows(spark, key):
     assert E.queries()[key](spark, SF).count() > 0
