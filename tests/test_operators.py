@@ -238,6 +238,39 @@ def test_hot_country_pairs_are_spread_over_tasks(spark):
     assert len(per_task) >= 6 and max(per_task) < 0.4 * total
 
 
+@pytest.mark.parametrize("broadcast_bound", ["10485760", "-1"])
+def test_copies_for_country_pairs_are_dealt_and_in_order(spark, broadcast_bound):
+    """30 blocks of one country: 15 copies of a station, which estimates of sizes do not see."""
+    n, block = 300, 10
+    pts = spark.range(0, n + 3, 1, 4).select(
+        F.format_string("HT%09d", F.col("id")).alias("ID"),
+        F.when(F.col("id") < n, "HT").when(F.col("id") < n + 2, "LO").alias("COUNTRY_CODE"),  # the last has none
+        ((F.col("id") * 7919 % 18000) / 100 - 90).alias("LATITUDE"), ((F.col("id") * 104729 % 36000) / 100 - 180).alias("LONGITUDE"),
+    )
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, broadcast_bound)
+    try:
+        pairs = pr.country_pairs(pts, rows_per_block=block)
+        plan = pairs._jdf.queryExecution().executedPlan().toString().splitlines()
+        rows = pairs.select(F.spark_partition_id(), "COUNTRY_CODE", "ID", "ID_1").collect()
+    finally:
+        spark.conf.set(key, old)
+    # copies meet without a broadcast, are made after their stations are dealt, and are dealt once
+    assert "SortMergeJoin" in next(line for line in plan if "Join" in line)
+    copies = [i for i, line in enumerate(plan) if "Generate explode" in line]
+    assert len(copies) == 2 and all("REPARTITION_BY_NUM" in plan[i + 1] for i in copies)
+    assert sum("REPARTITION_BY_NUM" in line for line in plan) == 4 and not any("ENSURE_REQUIREMENTS" in line and "_key" in line for line in plan)
+    assert sum(r.COUNTRY_CODE == "HT" for r in rows) == len({r[2:] for r in rows if r.COUNTRY_CODE == "HT"}) == n * (n - 1) // 2
+    assert [r[1:] for r in rows if r.COUNTRY_CODE != "HT"] == [("LO", f"HT{n:09d}", f"HT{n + 1:09d}")]
+    # one of the ids stays but for two breaks per copy of a station, and the other one rises
+    breaks = rises = 0
+    for a, b in itertools.pairwise(rows):
+        breaks += a[0] != b[0] or (a.ID != b.ID and a.ID_1 != b.ID_1)
+        rises += a[0] == b[0] and ((a.ID == b.ID and a.ID_1 < b.ID_1) or (a.ID_1 == b.ID_1 and a.ID < b.ID))
+    assert breaks <= 2 * n * (n // block + 1) / 2 and breaks + rises == len(rows) - 1
+
+
 @pytest.mark.parametrize("place", ["packed", "pole"])
 def test_closest_pair_of_packed_stations_is_no_slower(spark, place):
     """20,000 stations inside a metre, or on a pole, against 20,000 spread ones."""
